@@ -52,12 +52,13 @@ def is_record(line: Column) -> Column:
 
 def record_index(line: Column) -> Column:
     """Index of a record line, null for any other line."""
-    return F.regexp_extract(line, RECORD_PATTERN, 1).try_cast("long")
+    digits = F.substring_index(F.substring(line, len(RECORD_HEAD) + 1, MAX_LINE_BYTES), ":", 1)
+    return F.when(is_record(line), digits.try_cast("long"))
 
 
 def record_instant(line: Column) -> Column:
     """Instant of a record line, null for any other line."""
-    return F.regexp_extract(line, RECORD_PATTERN, 2).try_cast("timestamp")
+    return F.when(is_record(line), F.substring_index(line, " at ", -1).try_cast("timestamp"))
 
 
 def as_records(df, index: Column, ts: Column, render=record_text, *keep: str):

@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.records import line_bytes
@@ -24,10 +25,12 @@ from millrace.operators.rolling import Span, State, advance, compose, describe,
 from millrace.session import checkpoint_root
 
 CHUNK_ROWS = 4_000_000
+SMALL_CHUNK_ROWS = 250_000
 # Listed rows that one folding task may hold, 40 bytes each.
 FOLD_ROWS = 4_000_000
-# A start state is 48 bytes and there is at most one per chunk: 24 MB at most are broadcast.
-BROADCAST_CHUNKS = 500_000
+# A start state is 48 bytes and there is at most one per chunk, so at most 24 MB are
+# broadcast. Beyond this many chunks, chunks get longer.
+MAX_CHUNKS = 500_000
 
 GROUP = ["bucket", "subtask"]
 SPAN_SCHEMA = (
@@ -36,64 +39,72 @@ SPAN_SCHEMA = (
     "end_bytes array<long>, rolls array<long>"
 )
 START_SCHEMA = "bucket string, subtask long, chunk long, open long, last long, bytes long, part long"
-START_COLUMNS = ["_open", "_last", "_bytes", "_part"]
 
 
 def assign_parts(
     records: DataFrame,
     policy: RollPolicy = RollPolicy(),
     parallelism: int = 1,
-    line: str = "foams",
+    size: Column | None = None,
+    keep: list[str] | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    min_chunks: int = 1,
     fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
-    """Add ``subtask`` and ``part`` to records with ``bucket``, ``ts``, ``index`` and a line.
+    """Add ``subtask``, ``size`` and ``part`` to records with ``bucket``, ``ts``, ``index``.
 
-    ``subtask`` is the index modulo ``parallelism``. Within ``(bucket, subtask)``, in order
-    of instant and index, a record opens a new part when the current one is too old, was
-    idle too long, or already holds more than the size limit.
+    ``subtask`` is the index modulo ``parallelism``; ``size`` defaults to the bytes of the
+    ``foams`` line. Within ``(bucket, subtask)``, in order of instant and index, a record
+    opens a new part when the current one is too old, was idle too long, or already holds
+    more than the size limit. ``keep`` names the other columns to carry (default: all);
+    leaving the line out makes the shuffle a good deal narrower.
 
+    A chunk has about ``chunk_rows`` rows, fewer on a table too small to use all cores.
     With more than one chunk the sorted rows are checkpointed, which runs them; the
     numbering itself stays lazy.
     """
-    subtask = F.pmod(F.col("index"), F.lit(parallelism))
-    rows = records.withColumns(
-        {
-            "subtask": subtask.cast("long"),
-            "_ts": F.unix_micros("ts"),
-            "_size": line_bytes(F.col(line)),
-            # Lets copies of one record spread over chunks; they are interchangeable.
-            "_copy": F.monotonically_increasing_id(),
-        }
+    names = list(dict.fromkeys(["bucket", "ts", "index", *(records.columns if keep is None else keep)]))
+    subtask = F.pmod(F.col("index"), F.lit(parallelism)).cast("long")
+    rows = records.select(
+        *names,
+        subtask.alias("subtask"),
+        (line_bytes(F.col("foams")) if size is None else size.cast("long")).alias("size"),
+        # Lets copies of one record spread over chunks; they are interchangeable.
+        F.monotonically_increasing_id().alias("_copy"),
     )
-    order = [*GROUP, "_ts", "index", "_size", "_copy"]
-    chunks = max(1, math.ceil(records.count() / chunk_rows))
+    order = [*GROUP, "ts", "index", "size", "_copy"]
+    chunks = min(MAX_CHUNKS, max(min_chunks, chunk_count(records, chunk_rows)))
     ordered = rows.repartitionByRange(chunks, *order).sortWithinPartitions(*order).drop("_copy")
+    schema = T.StructType([*ordered.schema, T.StructField("part", T.LongType())])
     if chunks > 1:
         checkpoint_root(records.sparkSession)
-        ordered = ordered.withColumn("_chunk", F.spark_partition_id().cast("long")).checkpoint()
+        ordered = ordered.withColumn("_chunk", F.spark_partition_id()).checkpoint()
         starts = chunk_starts(ordered, policy, chunks, fold_rows)
-        if chunks <= BROADCAST_CHUNKS:
-            ordered = ordered.join(F.broadcast(starts), "_chunk", "left")
-        else:
-            ordered = ordered.join(starts, "_chunk", "left")
-            ordered = ordered.sortWithinPartitions("_chunk", *order[:-1])
-    names = [*records.columns, "subtask"]
-    schema = T.StructType([*rows.select(*names).schema, T.StructField("part", T.LongType())])
-    return ordered.mapInArrow(number_parts(policy, names), schema)
+        # The state is needed once per chunk, so only its first row carries it, as text:
+        # long runs of nulls are slow to pass to Python in an array column.
+        first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+        ordered = ordered.join(F.broadcast(starts), "_chunk", "left").drop("_chunk")
+        ordered = ordered.withColumn("_start", F.when(first, F.col("_start")))
+    return ordered.mapInArrow(number_parts(policy, schema.names[:-1]), schema)
+
+
+def chunk_count(records: DataFrame, chunk_rows: int) -> int:
+    rows = records.count()
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(rows / chunk_rows), min(cores, rows // SMALL_CHUNK_ROWS))
 
 
 def number_parts(policy: RollPolicy, names: list[str]):
-    """Second pass: number the parts of sorted rows, batch by batch."""
+    """Second pass: number the parts of the sorted rows of a chunk, batch by batch."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, chunk, state = None, None, State()
+        current, state = None, State()
         for batch in batches:
-            ts, size = longs(batch, "_ts"), longs(batch, "_size")
+            ts, size = longs(batch, "ts"), longs(batch, "size")
             parts = np.empty(batch.num_rows, np.int64)
-            for key, here, begin, end in group_slices(batch):
-                if here != chunk:
-                    current, chunk, state = key, here, given_start(batch, begin)
+            for key, begin, end in group_slices(batch):
+                if current is None:
+                    current, state = key, given_start(batch)
                 elif key != current:
                     current, state = key, State()
                 parts[begin:end], state = roll(ts[begin:end], size[begin:end], state, policy)
@@ -107,7 +118,8 @@ def describe_chunk(policy: RollPolicy):
     into another chunk."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, chunk, first, ts, size = None, None, True, [], []
+        chunk = TaskContext.get().partitionId()
+        current, first, ts, size = None, True, [], []
 
         def closed():
             span = describe(np.concatenate(ts), np.concatenate(size), policy)
@@ -116,13 +128,13 @@ def describe_chunk(policy: RollPolicy):
             return pa.RecordBatch.from_arrays(arrays, schema=SPAN_ARROW)
 
         for batch in batches:
-            all_ts, all_size = longs(batch, "_ts"), longs(batch, "_size")
-            for key, here, begin, end in group_slices(batch):
+            all_ts, all_size = longs(batch, "ts"), longs(batch, "size")
+            for key, begin, end in group_slices(batch):
                 if key != current:
                     if current is not None and first:
                         yield closed()
                         first = False
-                    current, chunk, ts, size = key, here, [], []
+                    current, ts, size = key, [], []
                 ts.append(all_ts[begin:end])
                 size.append(all_size[begin:end])
         if current is not None:
@@ -134,15 +146,17 @@ def describe_chunk(policy: RollPolicy):
 def chunk_starts(ordered: DataFrame, policy: RollPolicy, chunks: int, fold_rows: int) -> DataFrame:
     """Writer state at the start of each chunk that continues a group."""
     spans = (
-        ordered.select(*GROUP, "_chunk", "_ts", "_size")
+        ordered.select(*GROUP, "ts", "size")
         .mapInArrow(describe_chunk(policy), SPAN_SCHEMA)
         .checkpoint()
     )
     longest = spans.agg(F.max(F.size("at_ts"))).first()[0] or 1
     fan = max(2, min(256, fold_rows // longest))
     starts = fold(spans, policy, chunks, fan)
-    renamed = [F.col(c[1:]).alias(c) for c in START_COLUMNS]
-    return starts.filter(F.col("part") >= 0).select(F.col("chunk").alias("_chunk"), *renamed)
+    return starts.filter(F.col("part") >= 0).select(
+        F.col("chunk").cast("int").alias("_chunk"),
+        F.concat_ws(",", *State._fields).alias("_start"),
+    )
 
 
 def fold(spans: DataFrame, policy: RollPolicy, chunks: int, fan: int) -> DataFrame:
@@ -207,31 +221,27 @@ SPAN_ARROW = pa.schema(
 
 
 def longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    """A column without nulls as an array; a null instant or line is an error."""
-    return batch.column(name).to_numpy()
+    """A column without nulls as whole numbers; a null instant or line is an error."""
+    return batch.column(name).cast(pa.int64()).to_numpy()
 
 
 def group_slices(batch: pa.RecordBatch):
-    """Runs of rows with one group (and chunk) in a sorted batch: key, chunk, begin, end."""
+    """Runs of rows of one group in a sorted batch: key, begin, end."""
     if batch.num_rows == 0:
         return
-    keys = [name for name in [*GROUP, "_chunk"] if name in batch.schema.names]
+    keys = [batch.column(name) for name in GROUP]
     change = np.zeros(batch.num_rows - 1, bool)
-    for name in keys:
-        column = batch.column(name)
-        change |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    for key in keys:
+        change |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
     edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
     for begin, end in pairwise(edges):
-        bucket, subtask, *chunk = (batch.column(name)[begin].as_py() for name in keys)
-        yield (bucket, subtask), chunk[0] if chunk else 0, begin, end
+        yield tuple(key[begin].as_py() for key in keys), begin, end
 
 
-def given_start(batch: pa.RecordBatch, row: int) -> State:
-    """The start state joined to a chunk's rows, or a fresh one."""
-    if "_open" not in batch.schema.names:
-        return State()
-    values = [batch.column(name)[row].as_py() for name in START_COLUMNS]
-    return State() if values[0] is None else State(*values)
+def given_start(batch: pa.RecordBatch) -> State:
+    """The start state on the first row of a chunk, or a fresh one."""
+    start = batch.column("_start")[0].as_py() if "_start" in batch.schema.names else None
+    return State(*map(int, start.split(","))) if start else State()
 
 
 def roll_by_inactivity(records: DataFrame, idle_s: float, **options) -> DataFrame:
@@ -239,11 +249,11 @@ def roll_by_inactivity(records: DataFrame, idle_s: float, **options) -> DataFram
     return assign_parts(records, RollPolicy(None, idle_s, None), **options)
 
 
-def part_summary(parts: DataFrame, line: str = "foams") -> DataFrame:
+def part_summary(parts: DataFrame) -> DataFrame:
     """Records, bytes, first and last instant of each part."""
     return parts.groupBy(*GROUP, "part").agg(
         F.count("*").alias("records"),
-        F.sum(line_bytes(F.col(line))).alias("bytes"),
+        F.sum("size").alias("bytes"),
         F.min("ts").alias("opened"),
         F.max("ts").alias("closed"),
     )

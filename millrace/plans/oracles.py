@@ -140,9 +140,10 @@ WHERE regexp_matches(event_type, 'SIGN|ERROR', 'i')""",
 SELECT count(*) FILTER (regexp_matches(props, '"k": \d\d?\}')) AS matching,
        count(*) FILTER (NOT regexp_matches(props, '"k": \d\d?\}')) AS other
 FROM events""",
-    "bytes_per_record": f"""
+    "table_size": f"""
 WITH {RECORDS}
-SELECT octet_length(encode(foams)) + 1 AS size, count(*) AS records FROM r GROUP BY size""",
+SELECT count(*) AS records, CAST(sum(octet_length(encode(foams)) + 1) AS BIGINT) AS bytes
+FROM r""",
     "health_scorecard": f"""{parts(2)},
 f AS (
   SELECT count(*) AS records, count(DISTINCT index) AS n, min(index) AS lo, max(index) AS hi,

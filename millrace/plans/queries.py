@@ -55,8 +55,14 @@ def landed_table(spark: SparkSession, sf_dir: str) -> str:
     return _landed[key]
 
 
-def event_parts(spark: SparkSession, sf_dir: str, parallelism: int) -> DataFrame:
-    return parts.assign_parts(event_records(spark, sf_dir), POLICY, parallelism)
+def event_parts(spark: SparkSession, sf_dir: str, parallelism: int, **options) -> DataFrame:
+    records = event_records(spark, sf_dir)
+    return parts.assign_parts(records, POLICY, parallelism, keep=[], **options)
+
+
+def all_cores(spark: SparkSession) -> dict[str, int]:
+    """Cut even a small table into chunks, as a large one is."""
+    return {"min_chunks": spark.sparkContext.defaultParallelism}
 
 
 def generate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,12 +150,14 @@ def csv_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roll_by_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = parts.roll_by_inactivity(event_records(spark, sf_dir), POLICY.max_idle_s)
+    records = event_records(spark, sf_dir)
+    rolled = parts.roll_by_inactivity(records, POLICY.max_idle_s, keep=[], **all_cores(spark))
     return rolled.select("bucket", "index", "part")
 
 
 def assign_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_parts(spark, sf_dir, 1).select("bucket", "subtask", "index", "part")
+    assigned = event_parts(spark, sf_dir, 1, **all_cores(spark))
+    return assigned.select("bucket", "subtask", "index", "part")
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,12 +214,11 @@ def pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.not_matching_count(events(spark, sf_dir), r"\"k\": \d\d?\}", "props")
 
 
-def bytes_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line length and total size of the table as its lines tell it."""
-    sizes = tables.scan_table(spark, landed_table(spark, sf_dir)).select(
-        line_bytes(F.col("foams")).alias("size")
+def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line count of the table and the bytes its lines take."""
+    return tables.scan_table(spark, landed_table(spark, sf_dir)).agg(
+        F.count("*").alias("records"), F.sum(line_bytes(F.col("foams"))).alias("bytes")
     )
-    return sizes.groupBy("size").agg(F.count("*").alias("records"))
 
 
 def health_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +241,6 @@ QUERIES = {
         external_table_count, scan_one_bucket, limit_records, csv_scan_limit,
         roll_by_inactivity, assign_parts, part_summary, recent_parts, layout_summary,
         file_inventory, recent_events, last_events, error_events, pattern_events,
-        pattern_counts, bytes_per_record, health_scorecard,
+        pattern_counts, table_size, health_scorecard,
     )
 }

@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession
 
 # Instants are rendered and bucketed in UTC. Adaptive execution splits hot buckets and
 # merges small ones; the low merge floor keeps hundreds of tiny files out of one task.
+# Arrow batches hold narrow rows here, so they may be long.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "50000",
 }
 
 
