@@ -33,7 +33,7 @@ def matching(
     return events.filter(F.col(column).rlike(f"(?i){pattern}" if ignore_case else pattern))
 
 
-def not_matching_count(rows: DataFrame, pattern: str, column: str) -> DataFrame:
+def pattern_counts(rows: DataFrame, pattern: str, column: str) -> DataFrame:
     """How many rows match a pattern and how many do not."""
     hit = F.col(column).rlike(pattern)
     return rows.agg(F.count_if(hit).alias("matching"), F.count_if(~hit).alias("other"))

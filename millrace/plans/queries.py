@@ -211,7 +211,7 @@ def pattern_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count of lines that match a pattern, and of those that do not."""
-    return filters.not_matching_count(events(spark, sf_dir), r"\"k\": \d\d?\}", "props")
+    return filters.pattern_counts(events(spark, sf_dir), r"\"k\": \d\d?\}", "props")
 
 
 def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
