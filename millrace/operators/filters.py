@@ -14,11 +14,15 @@ def recent(
 ) -> DataFrame:
     """Events of the last ``within``, counted back from ``as_of``.
 
-    Without ``as_of`` the newest event sets the end, found by a subquery that reads the
-    one column. ``F.current_timestamp()`` gives the live form.
+    Without ``as_of`` the newest event sets the end; a subquery that reads the one column
+    yields the bound, and the scan gets it as a pushed filter. ``F.current_timestamp()``
+    gives the live form.
     """
-    end = as_of if as_of is not None else events.select(F.max(ts)).scalar()
-    return events.filter(F.col(ts) >= end - F.lit(within))
+    if as_of is None:
+        bound = events.select(F.max(ts) - F.lit(within)).scalar()
+    else:
+        bound = as_of - F.lit(within)
+    return events.filter(F.col(ts) >= bound)
 
 
 def containing(events: DataFrame, text: str, column: str = "message") -> DataFrame:
