@@ -99,6 +99,9 @@ def describe(ts: np.ndarray, size: np.ndarray, policy: RollPolicy) -> Span:
         listed = np.unique([0, min(limit, n - 1)]) if limit < n else np.array([0])
     else:
         listed = np.arange(min(limit + 1, n))
+        if policy.size == OFF:
+            # Rows of one instant roll together, so only the first of them can be first.
+            listed = listed[np.diff(ts[listed], prepend=LONG_AGO) > 0]
     span = Span(
         int(ts[0]), int(ts[-1]), total, limit < n,
         ts[listed], before[listed],
@@ -163,4 +166,5 @@ def compose(a: Span, b: Span, policy: RollPolicy) -> Span:
     added = (b.at_ts, before, b.end_open, b.end_bytes, b.rolls)
     mine = (both.at_ts, both.before, both.end_open, both.end_bytes, both.rolls)
     joined = [np.concatenate([x, y[:count]]) for x, y in zip(mine, added)]
-    return merge_equal(both._replace(**dict(zip(Span._fields[4:], joined)), must_roll=bool(due.any())))
+    arrays = dict(zip(Span._fields[4:], joined))
+    return merge_equal(both._replace(must_roll=bool(due.any()), **arrays))

@@ -25,6 +25,7 @@ ONE_BUCKET = "2024-01-15--12"
 AS_OF = "2024-01-31 12:00:00"
 FRESH_S = 6 * 3600
 MAX_FILE_BYTES = 300 + 82
+BATCH_BYTES = 1 << 40
 
 _landed: dict[tuple[str, str], str] = {}
 
@@ -39,7 +40,8 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_events(spark: SparkSession, sf_dir: str) -> str:
     """Stream all events into hour directories of a new table; returns its root."""
-    source = generator.replay_stream(tune(spark), f"{sf_dir}/events.parquet")
+    path = f"{sf_dir}/events.parquet"
+    source = generator.replay_stream(tune(spark), path, max_bytes=BATCH_BYTES)
     records = as_records(source, F.col("event_id"), F.col("ts"))
     root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
     writer = text_writer(records, root, state, available_now=True, spread=True)

@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "50000",
 }
 
+# Can only be set when a session is built: drop checkpoint files with their table.
+BUILD_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(
     app: str = "millrace", master: str | None = None, conf: dict[str, str] | None = None
@@ -27,7 +30,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(conf or {})}.items():
+    for key, value in {**SETTINGS, **BUILD_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return ship_package(builder.getOrCreate())
 

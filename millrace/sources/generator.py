@@ -75,11 +75,12 @@ def replay_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Stream a parquet table, given as one file or a folder of part files.
 
-    ``max_files`` / ``max_bytes`` bound one micro-batch of a long replay.
+    ``max_files`` or ``max_bytes`` bounds one micro-batch, so a long replay is committed
+    piece by piece.
     """
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
