@@ -1,9 +1,9 @@
 """Assignment of records to part files under a rolling policy, and part summaries.
 
-Records are range-sorted by ``(bucket, subtask, instant, index)``, so any hour, however
-large, is spread over as many equal chunks as it needs. One pass describes each chunk, the
-small descriptions are folded into the writer state at the start of each chunk, and a
-second pass numbers the parts. No task ever holds more than one chunk.
+Groups that fit a task are numbered whole. Where one does not, records are range-sorted by
+``(bucket, subtask, instant, index)``, so any hour, however large, is spread over as many
+equal chunks as it needs. One pass describes each chunk, the small descriptions are folded
+into the writer state at the start of each chunk, and a second pass numbers the parts.
 """
 
 from __future__ import annotations
@@ -59,39 +59,58 @@ def assign_parts(
     more than the size limit. ``keep`` names the other columns to carry (default: all);
     leaving the line out makes the shuffle a good deal narrower.
 
-    A chunk has about ``chunk_rows`` rows, fewer on a table too small to use all cores.
-    With more than one chunk the sorted rows are checkpointed, which runs them; the
-    numbering itself stays lazy.
+    Where even the largest group is a quarter of ``chunk_rows`` at most, whole groups are
+    hashed to tasks and numbered in one pass. Otherwise, or with ``min_chunks``, the sorted rows are cut into
+    chunks and checkpointed, which runs them; the numbering itself stays lazy.
     """
     names = list(dict.fromkeys(["bucket", "ts", "index", *(records.columns if keep is None else keep)]))
-    subtask = F.pmod(F.col("index"), F.lit(parallelism)).cast("long")
-    rows = records.select(
+    rows = records.withColumn("subtask", F.pmod(F.col("index"), F.lit(parallelism)).cast("long"))
+    largest, total = group_sizes(rows)
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(total / chunk_rows), min(cores, total // SMALL_CHUNK_ROWS))
+    rows = rows.select(
         *names,
-        subtask.alias("subtask"),
+        "subtask",
         (line_bytes(F.col("foams")) if size is None else size.cast("long")).alias("size"),
-        # Lets copies of one record spread over chunks; they are interchangeable.
-        F.monotonically_increasing_id().alias("_copy"),
     )
-    order = [*GROUP, "ts", "index", "size", "_copy"]
-    chunks = min(MAX_CHUNKS, max(min_chunks, chunk_count(records, chunk_rows)))
-    ordered = rows.repartitionByRange(chunks, *order).sortWithinPartitions(*order).drop("_copy")
-    schema = T.StructType([*ordered.schema, T.StructField("part", T.LongType())])
-    if chunks > 1:
-        checkpoint_root(records.sparkSession)
-        ordered = ordered.withColumn("_chunk", F.spark_partition_id()).checkpoint()
-        starts = chunk_starts(ordered, policy, chunks, fold_rows)
-        # The state is needed once per chunk, so only its first row carries it, as text:
-        # long runs of nulls are slow to pass to Python in an array column.
-        first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
-        ordered = ordered.join(F.broadcast(starts), "_chunk", "left").drop("_chunk")
-        ordered = ordered.withColumn("_start", F.when(first, F.col("_start")))
+    schema = T.StructType([*rows.schema, T.StructField("part", T.LongType())])
+    order = [*GROUP, "ts", "index", "size"]
+    if largest * 4 <= chunk_rows and min_chunks == 1:
+        # Four times the tasks, as some get several of the larger groups.
+        ordered = rows.repartition(4 * tasks, *GROUP).sortWithinPartitions(*order)
+    else:
+        chunks = min(MAX_CHUNKS, max(min_chunks, tasks))
+        ordered = with_starts(cut(rows, order, chunks), policy, chunks, fold_rows)
     return ordered.mapInArrow(number_parts(policy, schema.names[:-1]), schema)
 
 
-def chunk_count(records: DataFrame, chunk_rows: int) -> int:
-    rows = records.count()
-    cores = records.sparkSession.sparkContext.defaultParallelism
-    return max(1, math.ceil(rows / chunk_rows), min(cores, rows // SMALL_CHUNK_ROWS))
+def group_sizes(rows: DataFrame) -> tuple[int, int]:
+    """Rows of the largest group, and of all."""
+    counts = rows.groupBy(*GROUP).count()
+    found = counts.agg(F.max("count"), F.sum("count")).first()
+    return found[0] or 0, found[1] or 0
+
+
+def cut(rows: DataFrame, order: list[str], chunks: int) -> DataFrame:
+    """Rows in range order, one chunk per partition, kept by a checkpoint."""
+    checkpoint_root(rows.sparkSession)
+    # The last sort key lets copies of one record spread over chunks; copies are alike.
+    rows = rows.withColumn("_copy", F.monotonically_increasing_id())
+    order = [*order, "_copy"]
+    ordered = rows.repartitionByRange(chunks, *order).sortWithinPartitions(*order)
+    return ordered.drop("_copy").withColumn("_chunk", F.spark_partition_id()).checkpoint()
+
+
+def with_starts(chunked: DataFrame, policy: RollPolicy, chunks: int, fold_rows: int) -> DataFrame:
+    """Give the first row of each chunk the writer state it starts with.
+
+    The state travels as text, null on all other rows: long runs of nulls are slow to pass
+    to Python in an array column.
+    """
+    starts = chunk_starts(chunked, policy, chunks, fold_rows)
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    joined = chunked.join(F.broadcast(starts), "_chunk", "left").drop("_chunk")
+    return joined.withColumn("_start", F.when(first, F.col("_start")))
 
 
 def number_parts(policy: RollPolicy, names: list[str]):

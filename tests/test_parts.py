@@ -154,6 +154,24 @@ def test_kept_columns_and_plan(spark):
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
 
 
+def test_groups_that_fit_need_one_shuffle_and_no_checkpoint(spark):
+    out = parts.assign_parts(frame(spark, hot_rows(500)), size=F.col("size"), keep=[])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "ExistingRDD[bucket" not in plan
+
+
+@pytest.mark.parametrize("chunk_rows, chunked", [(12_000, False), (2000, True)])
+def test_the_largest_group_decides(spark, chunk_rows, chunked):
+    rows, policy = hot_rows(), RollPolicy(20, 4.5, 2000)
+    df = frame(spark, rows)
+    out = parts.assign_parts(df, policy, size=F.col("size"), keep=[], chunk_rows=chunk_rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == chunked
+    assert sorted(map(tuple, out.select("bucket", "subtask", "index", "part").collect())) == expected(
+        rows, policy, 1
+    )
+
+
 def test_layout_and_names(spark):
     summary = spark.createDataFrame(
         [("2025-10-10--17", 0, 9, 3, 30), ("2025-10-10--17", 0, 10, 2, 20), ("2025-10-10--16", 1, 0, 1, 10)],
