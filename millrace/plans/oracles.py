@@ -127,6 +127,8 @@ SELECT count(*) AS parts, CAST(sum(records) AS BIGINT) AS records,
 WITH {RECORDS}
 SELECT bucket, CAST(sum(octet_length(encode(foams)) + 1) AS BIGINT) AS bytes
 FROM r GROUP BY bucket""",
+    "rows_per_file": f"""
+WITH {RECORDS} SELECT bucket, count(*) AS records FROM r GROUP BY bucket""",
     "recent_events": f"SELECT event_id, event_type FROM events WHERE {RECENT}",
     "last_events": f"""
 SELECT event_id, event_type FROM events WHERE {RECENT}

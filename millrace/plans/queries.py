@@ -190,6 +190,14 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every file of the written table, by the hour in the file's path."""
+    files = tables.rows_per_file(tables.scan_foreign(spark, landed_table(spark, sf_dir)))
+    return files.groupBy(tables.inventory_bucket().alias("bucket")).agg(
+        F.sum("records").alias("records")
+    )
+
+
 def recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = filters.recent(events(spark, sf_dir), timedelta(days=1))
     return newest.select("event_id", "event_type")
@@ -242,7 +250,7 @@ QUERIES = {
         text_sink_roundtrip, stream_generated, restart_exactly_once,
         external_table_count, scan_one_bucket, limit_records, csv_scan_limit,
         roll_by_inactivity, assign_parts, part_summary, recent_parts, layout_summary,
-        file_inventory, recent_events, last_events, error_events, pattern_events,
+        file_inventory, rows_per_file, recent_events, last_events, error_events, pattern_events,
         pattern_counts, table_size, health_scorecard,
     )
 }
