@@ -88,7 +88,11 @@ class StreamJob:
         raise TimeoutError(f"job is {self.status()}, not {state}, after {polls} polls")
 
     def redeploy(self, build: Callable[[], DataStreamWriter], **stop_options) -> StreamJob:
-        """Stop, take the new definition, start on the same checkpoint."""
+        """Stop, take the new definition, start on the same checkpoint.
+
+        The new one may render or pace records differently; another kind of source needs
+        a checkpoint of its own.
+        """
         self.stop(**stop_options)
         self.build = build
         return self.start()

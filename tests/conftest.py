@@ -15,7 +15,7 @@ DATA = "/root/testdata"
 def spark(tmp_path_factory):
     session = build_session(
         "millrace-tests",
-        "local[4]",
+        "local[4,3]",  # three attempts per task
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

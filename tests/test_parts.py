@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from millrace.functions.records import as_records
@@ -102,6 +103,29 @@ def test_state_crosses_arrow_batches(spark):
     assert got == expected(rows, policy, 1)
 
 
+def test_lost_tasks_are_repeated(spark, monkeypatch):
+    """Every second task of both passes fails once, half way through its rows."""
+
+    def flaky(make):
+        def made(*args):
+            work = make(*args)
+
+            def run(batches):
+                task = TaskContext.get()
+                yield from work(batches)
+                if task.attemptNumber() == 0 and task.partitionId() % 2:
+                    raise RuntimeError("lost")
+
+            return run
+
+        return made
+
+    monkeypatch.setattr(parts, "number_parts", flaky(parts.number_parts))
+    monkeypatch.setattr(parts, "describe_chunk", flaky(parts.describe_chunk))
+    rows, policy = hot_rows(1500), RollPolicy(30, 4.9, 2500)
+    assert assigned(frame(spark, rows), policy, 1, chunk_rows=200) == expected(rows, policy, 1)
+
+
 def test_no_rows(spark):
     df = frame(spark, [])
     assert assigned(df, RollPolicy(), 1) == []
