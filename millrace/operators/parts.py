@@ -24,7 +24,7 @@ from millrace.operators.policy import RollPolicy
 from millrace.operators.rolling import Span, State, advance, compose, describe, roll
 from millrace.session import checkpoint_root
 
-CHUNK_ROWS = 4_000_000
+CHUNK_ROWS = 2_000_000
 SMALL_CHUNK_ROWS = 250_000
 # Listed rows that one folding task may hold, 40 bytes each.
 FOLD_ROWS = 4_000_000
@@ -63,7 +63,8 @@ def assign_parts(
     hashed to tasks and numbered in one pass. Otherwise, or with ``min_chunks``, the sorted rows are cut into
     chunks and checkpointed, which runs them; the numbering itself stays lazy.
     """
-    names = list(dict.fromkeys(["bucket", "ts", "index", *(records.columns if keep is None else keep)]))
+    kept = records.columns if keep is None else keep
+    names = list(dict.fromkeys(["bucket", "ts", "index", *kept]))
     rows = records.withColumn("subtask", F.pmod(F.col("index"), F.lit(parallelism)).cast("long"))
     largest, total = group_sizes(rows)
     cores = records.sparkSession.sparkContext.defaultParallelism

@@ -157,7 +157,8 @@ def test_redeploy_with_new_text_and_rate(spark, place):
 
 def test_failure_is_reported_and_the_job_can_go_on(spark, place):
     def broken(index, ts):
-        return F.when(index >= 150, F.raise_error(F.lit("sink is gone"))).otherwise(record_text(index, ts))
+        error = F.raise_error(F.lit("sink is gone"))
+        return F.when(index >= 150, error).otherwise(record_text(index, ts))
 
     job = StreamJob(live(spark, place, render=broken)).start()
     with pytest.raises(StreamingQueryException):

@@ -2,7 +2,6 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.sources import tables
 from millrace.sources.generator import bounded_records
