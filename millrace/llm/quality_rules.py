@@ -47,7 +47,7 @@ class Rules:
     max_repeat_percent: int = 50
     spread: float = 6.0  # half-spreads from the median to a limit
     slack: int = 100  # thousandths a limit always leaves above or below
-    noise: int = 8000  # more of it for the word length of short texts: over root of words
+    noise: int = 8000  # more of it for short texts: over the root of their words
     min_rows: int = 200  # rows a language and source needs for limits of its own
     salts: int = 32
 
@@ -184,10 +184,10 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "left",
     )
     inside = F.lit(True)
-    # A mean over few words strays from the middle of its kind by chance.
+    # A share or mean over few words strays from the middle of its kind by chance.
     stray = rules.noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     for m, (c, bad) in MEASURES.items():
-        more = stray if m == "word_length" else F.lit(0.0)
+        more = F.lit(0.0) if m == "symbols" else stray
         if bad in ("low", "both"):
             inside &= thousandths(c) + more >= F.coalesce(F.col(f"{m}_low"), F.lit(0.0))
         if bad in ("high", "both"):
