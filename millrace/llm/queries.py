@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import license_scan, quality_rules, sharding
+from millrace.llm import decontamination, license_scan, packing, quality_rules, sharding
 from millrace.llm.common import read
 
 
+def vocabulary() -> str:
+    """Place of the tokenizer's vocabulary file, installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -16,6 +23,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(read(spark, sf_dir, "documents"))
     return placed.select(
@@ -23,5 +45,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op7_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_quality_rules, op5_decontamination, op6_packing, op7_sharding,
+)}
 ORACLES: dict[str, str] = {}
