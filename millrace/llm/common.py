@@ -290,3 +290,15 @@ def in_filter(filter_: np.ndarray, hashes: np.ndarray, bits: int = FILTER_BITS)
         p = at[:, i]
         hit &= (filter_[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
     return hit
+
+
+def pack_hashes(hashes: DataFrame) -> DataFrame:
+    """Binary column ``hashes`` of a column ``h`` of numbers, a value per batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.asarray(batch.column("h").to_numpy(zero_copy_only=False), np.int64)
+            ends = np.array([0, len(values)])
+            yield pa.RecordBatch.from_arrays([binary_list(values, ends)], names=["hashes"])
+
+    return hashes.mapInArrow(run, "hashes binary")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import (
-    attach, binary_list, build_filter, in_filter, keep, letter_words, longs, session, slices,
+    attach, build_filter, in_filter, keep, letter_words, longs, pack_hashes, session, slices,
     table, window_hashes, with_key,
 )
 
@@ -145,7 +145,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, shingle: i
 
     def filter_of(column, rows: DataFrame) -> np.ndarray:
         hashed = rows.select(F.explode(column).alias("h")) if column is not None else rows
-        return build_filter(_packed(hashed), BITS)
+        return build_filter(pack_hashes(hashed), BITS)
 
     counts = shingle_counts(docs, widths, filter_of(F.col("shingles"), windows))
     index = keep(prefixes(windows, counts), "prefixes")
@@ -196,15 +196,3 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, shingle: i
         *group, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.size(items_).cast("long").alias("n_items"), items_.alias("items"),
     )
-
-
-def _packed(hashes: DataFrame) -> DataFrame:
-    """Binary column ``hashes`` of a column ``h`` of numbers, a value per batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.asarray(batch.column("h").to_numpy(zero_copy_only=False), np.int64)
-            ends = np.array([0, len(values)])
-            yield pa.RecordBatch.from_arrays([binary_list(values, ends)], names=["hashes"])
-
-    return hashes.mapInArrow(run, "hashes binary")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import classifier, decontamination, license_scan, packing, quality_rules, sharding
+from millrace.llm import classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding
 from millrace.llm.common import read
 
 
@@ -45,12 +45,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_rules, op5_decontamination, op6_packing, op7_sharding,
-    op9_quality_classifier,
+    op8_near_duplicates, op9_quality_classifier,
 )}
 ORACLES: dict[str, str] = {}
