@@ -238,47 +238,44 @@ def filter_positions(hashes: np.ndarray, bits: int) -> np.ndarray:
 def build_filter(hashed: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """Bit filter of a table with a binary column ``hashes`` of 64-bit numbers.
 
-    Tasks send positions to the part of the filter they fall in; parts are put together by
-    tasks and only the filter itself, 2^bits bits, comes to the driver.
+    Tasks send hashes to the part of the filter they fall in; parts are put together by tasks
+    and only the filter itself, 2^bits bits, comes to the driver.
     """
     part_bits = min(_PART_BITS, bits)
 
-    def scatter(batches):
-        schema = pa.schema([("part", pa.int32()), ("at", pa.binary())])
+    def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("part", pa.int32()), ("hashes", pa.binary())])
         for batch in batches:
             raw = b"".join(x for x in batch.column("hashes").to_pylist() if x)
-            at = np.unique(filter_positions(np.frombuffer(raw, np.uint64), bits).ravel())
-            part = at >> part_bits
-            ends = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(at)]])
-            if len(at):
-                yield table(
-                    {"part": part[ends[:-1]].astype(np.int32),
-                     "at": binary_list((at & ((1 << part_bits) - 1)).astype(np.uint32), ends)},
-                    schema,
-                )
+            values = np.unique(np.frombuffer(raw, np.uint64))
+            if not len(values):
+                continue
+            part = values >> U(63 - (bits - part_bits)) >> U(1)
+            ends = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(values)]])
+            yield table({"part": part[ends[:-1]].astype(np.int32),
+                         "hashes": binary_list(values, ends)}, schema)
 
     def gather(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
         bitmap = np.zeros(1 << part_bits, np.uint8)
-        part = None
         for batch in batches:
-            part = batch.column("part")[0].as_py()
-            raw = b"".join(batch.column("at").to_pylist())
-            bitmap[np.frombuffer(raw, np.uint32)] = 1
+            for raw in batch.column("hashes"):
+                at = filter_positions(np.frombuffer(raw.as_buffer(), np.uint64), bits)
+                bitmap[at.ravel() & ((1 << part_bits) - 1)] = 1
         yield pa.RecordBatch.from_pydict(
-            {"part": pa.array([part], pa.int32()), "bits": [np.packbits(bitmap).tobytes()]}
+            {"part": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(bitmap).tobytes()]}
         )
 
     parts = (
         hashed.select("hashes")
-        .mapInArrow(scatter, "part int, at binary")
+        .mapInArrow(scatter, "part int, hashes binary")
         .groupBy("part")
         .applyInArrow(gather, "part int, bits binary")
     )
     whole = np.zeros((1 << bits) // 8, np.uint8)
     size = (1 << part_bits) // 8
-    for row in parts.toLocalIterator():
+    for row in parts.collect():
         whole[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
     return whole
 

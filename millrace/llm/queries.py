@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding
-from millrace.llm.common import read
+from millrace.llm import classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding, substring_dedup
+from millrace.llm.common import keep, read
 
 
 def vocabulary() -> str:
@@ -54,8 +54,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return substring_dedup.digest(docs, keep(substring_dedup.removals(docs), "runs"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_rules, op5_decontamination, op6_packing, op7_sharding,
     op8_near_duplicates, op9_quality_classifier,
+    op10_substring_dedup,
 )}
 ORACLES: dict[str, str] = {}
