@@ -22,20 +22,20 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, U, binary_list, build_filter, in_filter, mix, pack_hashes, session, slices, table,
-    white_words, window_hashes, with_key,
+    ODD_1, U, binary_list, build_filter, in_filter, mix, session, slices, table, white_words,
+    window_hashes, with_key,
 )
+from millrace.llm.cutting import cut
 
 FLUSH = 2_000_000  # windows a task holds before it settles and sends them
 BUCKET_BYTES = 8 << 20  # text behind a bucket
-DOC_BITS = 24
 
 
 def block_hashes(docs: DataFrame, block: int) -> DataFrame:
@@ -160,8 +160,8 @@ def _scatter(kind, bucket, hashes, docs, places, buckets) -> Iterator[pa.RecordB
 
 
 def removals(docs: DataFrame, width: int = 13) -> DataFrame:
-    """``doc_id, tag, runs``: the removed runs of words of every text that loses some, as
-    pairs of 32-bit numbers; ``tag`` tells rows with one id apart."""
+    """``key, runs``: the removed runs of words of every text that loses some, as pairs of
+    32-bit numbers. In between, ``tag`` tells rows with one id apart."""
     spark = session(docs.sparkSession)
     block = (width + 1) // 2
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -233,43 +233,17 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
         .mapInArrow(windows, "kind int, bucket int, hashes binary, docs binary, places binary")
         .groupBy("bucket").applyInArrow(compare, "bucket int, docs binary, places binary")
         .groupBy("bucket").applyInArrow(assemble, "doc_id long, tag long, runs binary")
+        .select(F.xxhash64("doc_id", "tag").alias("key"), "runs")
     )
 
 
-_DONE = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("places", pa.binary())])
-_RUNS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("runs", pa.binary())])
-
-
-def cut(
-    docs: DataFrame, runs: DataFrame, change: Callable, schema: str, columns: list[str]
-) -> DataFrame:
-    """``change(batch, texts, runs)`` of all rows of ``docs``; only texts that lose words are
-    shuffled to meet their runs."""
-    filter_ = build_filter(pack_hashes(runs.select(F.xxhash64("doc_id", "tag").alias("h"))), DOC_BITS)
-    shared = docs.sparkSession.sparkContext.broadcast(filter_)
-    key = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull()).bitwiseAND(0xFFFFFFFF)
-    rows = docs.select(*columns, key.alias("_tag")).withColumn("_h", F.xxhash64("doc_id", "_tag"))
-
-    def chosen(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
-        keys = batch.column("_h").to_numpy(zero_copy_only=False).view(np.uint64)
-        return batch.filter(pa.array(in_filter(shared.value, keys, DOC_BITS) == want))
+def _text_key() -> Column:
+    whole = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
+    return F.xxhash64(F.col("doc_id"), whole.bitwiseAND(0xFFFFFFFF))
 
-    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield chosen(batch, True)
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices((chosen(b, False) for b in batches), lambda _: []):
-            yield change(part.batch, part.texts, [b""] * len(part.texts))
-
-    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, lambda _: []):
-            yield change(part.batch, part.texts, part.batch.column("_runs").to_pylist())
 
-    found = runs.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_t"), F.col("runs").alias("_runs"))
-    some = rows.mapInArrow(touched, rows.schema)
-    met = some.join(found, (some["doc_id"] == found["_id"]) & (some["_tag"] == found["_t"]), "left")
-    return rows.mapInArrow(whole, schema).union(met.mapInArrow(shortened, schema))
+_DONE = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("places", pa.binary())])
+_RUNS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("runs", pa.binary())])
 
 
 def kept_words(words: list[bytes], runs: bytes | None) -> list[bytes]:
@@ -299,7 +273,8 @@ def digest(docs: DataFrame, runs: DataFrame) -> DataFrame:
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return cut(docs, runs, change, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string",
+    return cut(docs, runs, _text_key(), change,
+               f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string",
                ["doc_id", "text"])
 
 
@@ -318,4 +293,4 @@ def shorten(docs: DataFrame, runs: DataFrame) -> DataFrame:
             columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
         return pa.RecordBatch.from_pydict(columns)
 
-    return cut(docs, runs, change, docs.schema, docs.columns)
+    return cut(docs, runs, _text_key(), change, docs.schema, docs.columns)
