@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding
-from millrace.llm import substring_dedup, suffix_dedup
+from millrace.llm import substring_dedup, suffix_dedup, url_filter
 from millrace.llm.common import keep, read
 
 
@@ -24,6 +24,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return suffix_dedup.digest(docs, keep(suffix_dedup.removals(docs), "runs"))
@@ -66,7 +70,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_quality_rules, op4_suffix_dedup, op5_decontamination, op6_packing, op7_sharding,
+    op1_license_scan, op2_quality_rules, op3_url_filter, op4_suffix_dedup, op5_decontamination, op6_packing, op7_sharding,
     op8_near_duplicates, op9_quality_classifier,
     op10_substring_dedup,
 )}
