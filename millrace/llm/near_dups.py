@@ -10,9 +10,9 @@ similarity of the sets, and long texts cost one or two hashes per shingle.
 Equal sets are one node (with the smallest id). Bands of coordinates put nodes into buckets.
 Within a bucket no pairs are listed: nodes are compared with the bucket's smallest one, on
 their full sets. What that links is merged; where a bucket still holds nodes of several
-components, those outside of the component of its smallest node are compared with the nodes
-of other components there. So every pair that shares a bucket is compared or already in one
-component, and a bucket of near copies costs a comparison each.
+components, those outside of the component of its smallest node are compared, in blocks of
+bounded size, with the nodes of other components there. So every pair that shares a bucket is
+compared or already in one component, and only links leave a task.
 
 Defined results: texts without words have no shingles and no links; one with fewer words
 than a shingle is its whole sequence; rows with one id count as one document; rows with a
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import (
     ODD_1, ODD_2, U, binary_list, build_filter, in_filter, keep, longs, lower_white_words, mix,
-    pack_hashes, session, slices, table, window_hashes,
+    pack_hashes, session, slices, table, window_hashes, with_key,
 )
 from millrace.llm.components import components
 
@@ -94,7 +94,7 @@ def sketches(grams: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
 
 
 def sketch_rows(docs: DataFrame, like: Likeness) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, bands``; two 64-bit sums tell sets apart."""
+    """``doc_id, row_key, n_shingles, set_a, set_b, bands``; two 64-bit sums tell sets apart."""
     size = like.bands * like.rows
     kinds = "n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -111,14 +111,15 @@ def sketch_rows(docs: DataFrame, like: Likeness) -> DataFrame:
                 sums.append(total[bounds[1:]] - total[bounds[:-1]])
             ends = np.arange(0, band.size + 1, like.bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()),
+                [part.batch.column("doc_id"), part.batch.column("row_key"),
+                 pa.array(np.diff(bounds), pa.int64()),
                  longs(sums[0]), longs(sums[1]),
                  pa.ListArray.from_arrays(pa.array(ends), longs(band.ravel()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "bands"],
             )
 
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        run, f"doc_id long, {kinds}"
+    return with_key(docs, F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, f"doc_id long, row_key long, {kinds}"
     )
 
 
@@ -144,36 +145,38 @@ def sets_of(docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     return rows.mapInArrow(run, "node long, grams binary")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough. A node with many partners is a
-    row of its set and a row for each partner; adaptive execution splits such joins."""
+def compare(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """``a, b, linked, apart`` of the pairs ``a, b``: whether their full sets are similar enough
+    and the shingles that only one of them has. A node with many partners is a row of its set
+    and a row for each partner; adaptive execution splits such joins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
-            keep_ = []
+            linked, apart = [], []
             for x, y in zip(batch.column("grams_a"), batch.column("grams_b")):
                 s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.minimum(np.searchsorted(t, s), max(len(t) - 1, 0))
-                both = int((t[at] == s).sum()) if len(t) else 0
-                keep_.append(100 * both >= like.percent * (len(s) + len(t) - both))
-            found = batch.filter(pa.array(keep_, pa.bool_()))
-            yield table({"a": found.column("a"), "b": found.column("b")}, schema)
+                other = np.setxor1d(s, t, assume_unique=True)
+                linked.append(alike(len(s), len(t), len(other), like))
+                apart.append(other.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()),
+                 pa.array(apart, pa.binary())], names=["a", "b", "linked", "apart"],
+            )
 
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a")
-    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(
+        run, "a long, b long, linked boolean, apart binary"
+    )
 
 
-def close_sizes(like: Likeness, m: Column, n: Column) -> Column:
-    """Sets of sizes too different cannot be similar."""
-    return 100 * F.least(m, n) >= like.percent * F.greatest(m, n)
+def alike(m, n, apart, like: Likeness):
+    """Similarity test from the sizes of two sets and of their symmetric difference."""
+    return 100 * (m + n - apart) >= like.percent * (m + n + apart)
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, component_id, kept``."""
+    """``doc_id, row_key, n_shingles, set_a, set_b, component_id, kept``."""
     session(docs.sparkSession)
     rows = keep(sketch_rows(docs, like), "sketches")
     same = ["set_a", "set_b", "n_shingles"]
@@ -183,34 +186,21 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
         "nodes",
     )
     spread = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    heads = (
-        spread.groupBy("bucket")
-        .agg(F.min(F.struct("node", "n_shingles")).alias("head"), F.count("*").alias("n"))
-        .filter("n > 1")
-    )
+    heads = spread.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n"))
     # Rows of buckets with company; all later steps start from them.
     held = keep(
-        spread.join(heads, "bucket")
-        .select("bucket", "node", "n_shingles", F.col("head.node").alias("head"),
-                F.col("head.n_shingles").alias("head_n")),
+        spread.join(heads.filter("n > 1"), "bucket").select("bucket", "node", "n_shingles", "head"),
         "buckets",
-    )
-    stars = keep(
-        held.filter((F.col("node") != F.col("head"))
-                    & close_sizes(like, F.col("n_shingles"), F.col("head_n")))
-        .select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(),
-        "stars",
-    )
+    )
+    stars = held.filter("node <> head").select(
+        F.col("head").alias("a"), F.col("node").alias("b")
+    ).distinct()
     sets = keep(sets_of(docs, held.select("node").distinct(), like), "sets")
-    links = keep(similar(stars, sets, like), "links")
+    compared = keep(compare(stars, sets, like), "compared")
+    links = compared.filter("linked").select("a", "b")
     labels = components(links)
-
-    across = keep(_across(held, labels, stars, like), "across")
-    more = keep(similar(across, sets, like), "links")
-    if more.isEmpty():
-        final = labels
-    else:
-        final = components(links.union(more))
+    more = keep(across(held, labels, compared, like), "links")
+    final = labels if more.isEmpty() else components(links.union(more))
 
     named = nodes.join(final, "node", "left").select(
         *[F.col(c).alias(f"_{c}") for c in same],
@@ -222,28 +212,96 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
         F.col("doc_id")
     )
     return joined.select(
-        "doc_id", *same, component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "doc_id", "row_key", *same, component.alias("component_id"),
+        F.when(F.col("doc_id").isNull(), component.isNull())
+        .otherwise(F.col("doc_id") == component).alias("kept"),
     )
 
 
-def _across(held: DataFrame, labels: DataFrame, done: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of a bucket in different components, one of them not that of the bucket's head."""
+STRAYS, MEMBERS = 256, 512  # nodes of a block
+
+
+def across(held: DataFrame, labels: DataFrame, compared: DataFrame, like: Likeness) -> DataFrame:
+    """``a, b``: links between the components that met in a bucket, one for each node outside
+    of the head's component and component that it is similar to.
+
+    Every such node is compared with all nodes of other components in its bucket, in blocks of
+    bounded size. Both sides are known by what sets them apart from the bucket's head: what two
+    sets do not share is what their differences do not share, so the full sets stay where they
+    are and the test is exact.
+    """
     of = labels.withColumnsRenamed({"node": "_n", "component": "_c"})
     marked = held.join(of, F.col("node") == F.col("_n"), "left").select(
         "bucket", "node", "n_shingles", "head", F.coalesce("_c", "node").alias("component")
     )
-    marked = marked.join(of, F.col("head") == F.col("_n"), "left").select(
-        "bucket", "node", "n_shingles", "component",
-        (F.col("component") == F.coalesce("_c", "head")).alias("with_head"),
-    )
-    marked = keep(marked, "marked")
-    stray = marked.filter(~F.col("with_head")).alias("s")
-    pairs = stray.join(marked.alias("m"), "bucket").filter(
-        (F.col("s.component") != F.col("m.component"))
-        & close_sizes(like, F.col("s.n_shingles"), F.col("m.n_shingles"))
-        & (F.col("m.with_head") | (F.col("m.node") < F.col("s.node")))
+    marked = keep(marked.join(of, F.col("head") == F.col("_n"), "left").select(
+        "bucket", "node", "n_shingles", "head", "component",
+        (F.col("component") != F.coalesce("_c", "head")).alias("stray"),
+    ), "marked")
+    blocks = marked.groupBy("bucket").agg(
+        F.ceil(F.count_if("stray") / STRAYS).cast("int").alias("s"),
+        F.ceil(F.count("*") / MEMBERS).cast("int").alias("m"),
+    ).filter("s > 0")
+    apart = compared.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "apart")
+    met = marked.join(blocks, "bucket").join(
+        apart, (F.col("head") == F.col("_a")) & (F.col("node") == F.col("_b")), "left"
     )
-    a, b = F.least("s.node", "m.node"), F.greatest("s.node", "m.node")
-    new = pairs.select(a.alias("a"), b.alias("b")).distinct()
-    return new.join(done, ["a", "b"], "left_anti")
+    one = F.xxhash64("node")
+    columns = ["bucket", "node", "n_shingles", "component", "apart"]
+
+    def all_of(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    members = met.select(*columns, F.lit(False).alias("is_stray"), all_of(F.col("s")).alias("i"),
+                         F.pmod(one, F.col("m")).cast("int").alias("j"))
+    strays = met.filter("stray").select(
+        *columns, F.lit(True).alias("is_stray"), F.pmod(one, F.col("s")).cast("int").alias("i"),
+        all_of(F.col("m")).alias("j"),
+    )
+    block = ["bucket", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        held_: list[tuple] = []
+        now = None
+        for batch in batches:
+            names = [*block, "is_stray", "node", "n_shingles", "component", "apart"]
+            found = []
+            for row in zip(*(batch.column(x).to_pylist() for x in names)):
+                if row[:3] != now:
+                    found += _block_links(held_, like)
+                    held_, now = [], row[:3]
+                held_.append(row[3:])
+            yield table({"a": [x for x, _ in found], "b": [y for _, y in found]}, schema)
+        found = _block_links(held_, like)
+        yield table({"a": [x for x, _ in found], "b": [y for _, y in found]}, schema)
+
+    return (
+        members.union(strays).repartition(*block).sortWithinPartitions(*block)
+        .mapInArrow(run, "a long, b long").distinct()
+    )
+
+
+def _block_links(rows: list[tuple], like: Likeness) -> list[tuple[int, int]]:
+    strays = [r for r in rows if r[0]]
+    members = [r for r in rows if not r[0]]
+    if not strays or not members:
+        return []
+    node, size, component = (np.array([r[k] for r in members], np.int64) for k in (1, 2, 3))
+    apart = [np.frombuffer(r[4] or b"", np.uint64) for r in members]
+    length = np.array([len(x) for x in apart], np.int64)
+    at = np.concatenate([[0], np.cumsum(length)])
+    all_ = np.concatenate(apart)
+    out = []
+    for _, s_node, s_size, s_component, raw in strays:
+        own = np.frombuffer(raw or b"", np.uint64)
+        if len(own) and len(all_):
+            place = np.minimum(np.searchsorted(own, all_), len(own) - 1)
+            upto = np.concatenate([[0], np.cumsum(own[place] == all_)])
+            shared = upto[at[1:]] - upto[at[:-1]]
+        else:
+            shared = np.zeros(len(members), np.int64)
+        good = alike(s_size, size, len(own) + length - 2 * shared, like) & (component != s_component)
+        _, first = np.unique(component[good], return_index=True)
+        out += [(int(x), s_node) for x in node[good][first]]
+    return out
