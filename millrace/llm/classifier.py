@@ -130,7 +130,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settin
     """Logistic loss by steps scaled to each number's past gradients."""
     random = np.random.default_rng(s.seed)
     size = 1 << s.bits
-    share = float(np.clip(labels.mean(), 0.02, 0.98)) if len(labels) else 0.5
+    if not rows:
+        return Model(0.0, np.zeros(size, np.float32), np.zeros((size, s.rank), np.float32))
+    share = float(np.clip(labels.mean(), 0.02, 0.98))
     model = Model(
         float(np.log(share / (1 - share))),
         np.zeros(size, np.float32),
@@ -138,7 +140,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settin
     )
     seen_w, seen_v = np.full(size, 1e-3, np.float32), np.full((size, s.rank), 1e-3, np.float32)
     seen_b = 1e-3
-    for _ in range(-(-s.steps * s.batch // len(rows)) if rows else 0):
+    for _ in range(-(-s.steps * s.batch // len(rows))):
         order = random.permutation(len(rows))
         for first in range(0, len(order), s.batch):
             chosen = order[first : first + s.batch]
