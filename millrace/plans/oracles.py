@@ -92,10 +92,12 @@ g AS (SELECT event_id AS index, (event_id * 1000000) // n AS passed_us FROM even
 SELECT passed_us // 100000 AS slot, count(*) AS records,
        min(index) AS first_index, max(index) AS last_index
 FROM g GROUP BY slot""",
-    "restart_exactly_once": """
-SELECT 3 * count(*) AS records, 3 * count(*) AS parsed, 3 * count(*) AS "distinct",
-       CAST(0 AS BIGINT) AS first, 3 * count(*) - 1 AS last
-FROM events""",
+    "restart_exactly_once": f"WITH {RECORDS} SELECT foams, bucket FROM r",
+    "csv_text_roundtrip": "SELECT doc_id, text FROM documents",
+    "own_render": f"""
+WITH {RECORDS} SELECT index, index || '|' || bucket AS foams, bucket FROM r""",
+    "key_pattern_count": """
+SELECT count(*) AS records FROM events WHERE extract(hour FROM ts) < 6""",
     "external_table_count": "SELECT count(*) AS records FROM events",
     "scan_one_bucket": f"""
 WITH {RECORDS} SELECT foams, bucket FROM r WHERE bucket = '{ONE_BUCKET}'""",

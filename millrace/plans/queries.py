@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.records import as_records, line_bytes, parse_records as parse_lines
+from millrace.functions.records import (
+    as_records, hour_bucket, line_bytes, parse_records as parse_lines, record_text,
+)
 from millrace.operators import filters, health, parts
 from millrace.operators.policy import RollPolicy
-from millrace.session import scratch_path, tune
+from millrace.session import scratch_path, ship_package
 from millrace.sources import generator, tables
 from millrace.streaming.jobs import StreamJob
 from millrace.streaming.sink import export_csv, text_writer
@@ -31,7 +34,7 @@ _landed: dict[tuple[str, str], str] = {}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return ship_package(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_events(spark: SparkSession, sf_dir: str) -> str:
     """Stream all events into hour directories of a new table; returns its root."""
     path = f"{sf_dir}/events.parquet"
-    source = generator.replay_stream(tune(spark), path, max_bytes=BATCH_BYTES)
+    source = generator.replay_stream(ship_package(spark), path, max_bytes=BATCH_BYTES)
     records = as_records(source, F.col("event_id"), F.col("ts"))
     root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
     writer = text_writer(records, root, state, available_now=True, spread=True)
@@ -69,7 +72,7 @@ def all_cores(spark: SparkSession) -> dict[str, int]:
 
 def generate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many generated records as there are line items."""
-    count = tune(spark).read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    count = ship_package(spark).read.parquet(f"{sf_dir}/lineitem.parquet").count()
     return generator.bounded_records(spark, count, FIRST_INSTANT_US).select(
         "index", "foams", "bucket"
     )
@@ -98,7 +101,7 @@ def stream_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate-limited stream with one record per event in a one-second trigger; records
     and index range of each tenth of that second, from the instants in the text."""
     count = events(spark, sf_dir).count()
-    root = _generated(spark, count, starts=1)
+    root = _generated(spark, count)
     records = parse_lines(tables.scan_table(spark, root))
     first = records.select(F.min("ts")).scalar()
     passed_us = F.unix_micros("ts") - F.unix_micros(first)
@@ -113,27 +116,51 @@ def stream_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs of a generating job on one checkpoint, one record per event in each."""
-    count = events(spark, sf_dir).count()
-    root = _generated(spark, count, starts=3)
-    return health.index_profile(tables.scan_table(spark, root)).drop("newest")
-
-
-def _generated(spark: SparkSession, count: int, starts: int) -> str:
+    """All events, replayed in batches by a job whose first run fails in the middle, whose
+    second is stopped by force and whose third does the rest."""
+    rows = events(spark, sf_dir).select("event_id", "ts")
+    path = scratch_path(spark, "replay")
+    rows.repartitionByRange(4, "event_id").write.parquet(path)
+    middle = rows.agg(F.avg("event_id")).first()[0] or 0
+    root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
+    runs = iter([middle])
+
+    def render(index, ts):
+        limit = next(runs, None)
+        text = record_text(index, ts)
+        if limit is None:
+            return text
+        return F.when(index > limit, F.raise_error(F.lit("planned failure"))).otherwise(text)
+
+    def build():
+        source = generator.replay_stream(spark, path, max_files=1)
+        records = as_records(source, F.col("event_id"), F.col("ts"), render)
+        return text_writer(records, root, state, available_now=True, spread=True)
+
+    job = StreamJob(build, restarts=1).start()
+    try:
+        job.query.awaitTermination()
+    except StreamingQueryException:
+        job.restart()
+    job.stop(force=True)
+    job.start().wait_for_end()
+    return tables.scan_table(spark, root)
+
+
+def _generated(spark: SparkSession, count: int) -> str:
     root, state = scratch_path(spark, "stream"), scratch_path(spark, "state")
     records = generator.stream_records(
         spark, rate=count, trigger_s=1, partitions=spark.sparkContext.defaultParallelism
     )
-    job = StreamJob(lambda: text_writer(records, root, state, available_now=True))
-    for _ in range(starts):
-        job.start().query.awaitTermination()
+    text_writer(records, root, state, available_now=True).start().awaitTermination()
     return root
 
 
 def external_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landed_table(spark, sf_dir)
-    tables.register_table(spark, "millrace_records", root)
-    return spark.sql("SELECT COUNT(*) AS records FROM millrace_records")
+    name = f"millrace_{root.rsplit('-', 1)[-1]}"
+    tables.register_table(spark, name, root)
+    return spark.sql("SELECT COUNT(*) AS records FROM IDENTIFIER(:name)", args={"name": name})
 
 
 def scan_one_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +178,33 @@ def csv_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.first_records(tables.scan_csv(spark, path), 10)
 
 
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts, with their spaces, quotes, commas and line ends, through CSV."""
+    path = scratch_path(spark, "csv")
+    docs = ship_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    export_csv(docs.select("doc_id", "text"), path)
+    return tables.scan_csv(spark, path, "doc_id LONG, text STRING")
+
+
+def own_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a text of the caller's."""
+    records = as_records(
+        events(spark, sf_dir), F.col("event_id"), F.col("ts"),
+        lambda index, ts: F.concat_ws("|", index.cast("string"), hour_bucket(ts)),
+    )
+    return records.select("index", "foams", "bucket")
+
+
+def key_pattern_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in the files whose path matches a pattern: those of the first six hours of a day."""
+    root = landed_table(spark, sf_dir)
+    files = tables.file_inventory(spark, root, r"bucket=[^/]*--0[0-5]/part-[^/]*\.txt$")
+    rows = tables.rows_per_file(tables.scan_foreign(spark, root))
+    name = F.element_at(F.split("path", "/"), -1)
+    met = rows.withColumn("file", name).join(files.select(name.alias("file")), "file", "left_semi")
+    return met.agg(F.sum("records").alias("records"))
+
+
 def roll_by_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = event_records(spark, sf_dir)
     rolled = parts.roll_by_inactivity(records, POLICY.max_idle_s, keep=[], **all_cores(spark))
@@ -236,7 +290,7 @@ def health_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.scorecard(
         event_records(spark, sf_dir),
         _summary(spark, sf_dir),
-        F.lit(AS_OF).cast("timestamp"),
+        F.lit(f"{AS_OF}Z").cast("timestamp"),
         FRESH_S,
         MAX_FILE_BYTES,
         length="bytes",
@@ -249,6 +303,7 @@ QUERIES = {
         generate_records, format_event_records, parse_records, hourly_bucket_counts,
         text_sink_roundtrip, stream_generated, restart_exactly_once,
         external_table_count, scan_one_bucket, limit_records, csv_scan_limit,
+        csv_text_roundtrip, own_render, key_pattern_count,
         roll_by_inactivity, assign_parts, part_summary, recent_parts, layout_summary,
         file_inventory, rows_per_file, recent_events, last_events, error_events, pattern_events,
         pattern_counts, table_size, health_scorecard,

@@ -9,17 +9,13 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-# Instants are rendered and bucketed in UTC. Adaptive execution splits hot buckets and
-# merges small ones. Arrow batches hold narrow rows here, so they may be long.
+# Adaptive execution splits hot buckets and merges small ones. Texts and buckets are in UTC
+# whatever the zone of the session is; this one only sets how timestamps are shown.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "50000",
 }
 
-# On one machine, a low merge floor keeps hundreds of tiny files out of one task.
-LOCAL_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
-
 # Can only be set when a session is built: drop checkpoint files with their table.
 BUILD_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
@@ -35,24 +31,12 @@ def build_session(
     for key, value in {**SETTINGS, **BUILD_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    for key, value in {**session_settings(spark), **conf}.items():
+    for key, value in {**SETTINGS, **conf}.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return ship_package(spark)
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session somebody else built."""
-    for key, value in session_settings(spark).items():
-        spark.conf.set(key, value)
-    return ship_package(spark)
-
-
-def session_settings(spark: SparkSession) -> dict[str, str]:
-    local = spark.sparkContext.master.startswith("local")
-    return {**SETTINGS, **LOCAL_SETTINGS} if local else SETTINGS
-
-
 _shipped: set[str] = set()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,30 +35,44 @@ def bounded_records(
     return as_records(ids, F.col("id"), instant, render)
 
 
+@dataclass(frozen=True)
+class LiveRecords:
+    """A stream of records and the trigger it is paced for, which its writer must keep."""
+
+    frame: DataFrame
+    trigger_s: float
+
+
 def stream_records(
     spark: SparkSession,
     rate: float = 2,
-    trigger_s: float = 60,
+    trigger_s: float = 30,
     partitions: int = 1,
     render=record_text,
     catch_up: bool = False,
-) -> DataFrame:
+) -> LiveRecords:
     """Unbounded records at ``rate`` per second, ``rate * trigger_s`` per trigger.
 
     The number of records per trigger is fixed, so after a pause the stream goes on at the
-    same rate. ``catch_up=True`` emits what was missed instead. All records of a trigger
-    share the clock of the batch; each gets its own share of the trigger on top, which
-    keeps instants in index order as long as a checkpoint keeps one rate.
+    same rate. ``catch_up=True`` emits what was missed instead. The records of a trigger are
+    spread evenly over the last full span of the trigger's length before the clock of the
+    batch: none lies in the future, and while a job runs instants follow the index. A rate that gives no whole number of records is
+    refused.
     """
+    rows = rate if catch_up else rate * trigger_s
+    if round(rows) < 1 or abs(rows - round(rows)) > 1e-9 * rows:
+        unit = "a second" if catch_up else f"a trigger of {trigger_s} s"
+        raise ValueError(f"{rate} records/s are no whole number in {unit}")
+    rows = round(rows)
     if catch_up:
         source = (
             spark.readStream.format("rate")
-            .option("rowsPerSecond", max(1, round(rate)))
+            .option("rowsPerSecond", rows)
             .option("numPartitions", partitions)
             .load()
         )
-        return as_records(source, F.col("value"), F.col("timestamp"), render)
-    rows = max(1, round(rate * trigger_s))
+        records = as_records(source, F.col("value"), F.col("timestamp"), render)
+        return LiveRecords(records, trigger_s)
     source = (
         spark.readStream.format("rate-micro-batch")
         .option("rowsPerBatch", rows)
@@ -66,9 +81,11 @@ def stream_records(
     )
     trigger_us = round(trigger_s * 1_000_000)
     share = (F.col("value") % rows) * F.lit(trigger_us)
-    offset = F.call_function("div", share, F.lit(rows))
-    instant = F.timestamp_micros(F.unix_micros(F.current_timestamp()) + offset)
-    return as_records(source, F.col("value"), instant, render)
+    offset = F.call_function("div", share, F.lit(rows)) - trigger_us
+    # Triggers fall on multiples of their length, so spans of successive batches do not meet.
+    clock = F.unix_micros(F.current_timestamp())
+    instant = F.timestamp_micros(clock - clock % trigger_us + offset)
+    return LiveRecords(as_records(source, F.col("value"), instant, render), trigger_s)
 
 
 def replay_stream(

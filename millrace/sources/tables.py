@@ -9,16 +9,40 @@ from millrace.functions.records import BUCKET_PATTERN
 LINE_SCHEMA = "foams STRING"
 TABLE_SCHEMA = "foams STRING, bucket STRING"
 
+# Both sides of a CSV file: nothing is trimmed, quotes are doubled, line ends stay as they
+# are, and a null is a control character, so it differs from an empty text.
+CSV_OPTIONS = {
+    "header": False,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\x01",
+    "emptyValue": "",
+}
+
 
 def scan_table(spark: SparkSession, root: str) -> DataFrame:
     """All records of a table this engine wrote: ``foams, bucket``.
 
     Reads the root, so only committed files are seen, and a filter on ``bucket`` prunes
-    directories.
+    directories. A folder with files in another layout is refused, not read as empty.
     """
+    _check_layout(spark, root)
     return spark.read.schema(TABLE_SCHEMA).text(root)
 
 
+def _check_layout(spark: SparkSession, root: str) -> None:
+    """Only the names in the root itself are listed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    seen = [n for n in names if not n.startswith((".", "_"))]
+    if seen and "_spark_metadata" not in names and not any(n.startswith("bucket=") for n in seen):
+        raise ValueError(f"{root} has {seen[0]} instead of bucket=<hour>: use scan_foreign")
+
+
 def scan_bucket(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     """Records of one hour. Filters the root scan: a bucket path read by itself would
     also show uncommitted files."""
@@ -38,25 +62,43 @@ def scan_foreign(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def scan_foreign_bucket(spark: SparkSession, root: str, bucket: str) -> DataFrame:
+    """Records of one plain hour directory; no other directory is listed."""
+    return scan_foreign(spark, f"{root.rstrip('/')}/{bucket}")
+
+
 def scan_file(spark: SparkSession, path: str) -> DataFrame:
     """Records of one foreign part file."""
     return spark.read.schema(LINE_SCHEMA).text(path)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str = LINE_SCHEMA) -> DataFrame:
-    """Headerless CSV scan."""
-    return spark.read.schema(schema).option("header", False).csv(path)
+    """Headerless CSV scan. A row that does not fit the schema fails the scan."""
+    options = {**CSV_OPTIONS, "multiLine": True, "mode": "FAILFAST"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Create an external table over ``root``, at any directory depth, and return it."""
-    quoted = root.replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(
-        f"CREATE TABLE {name} ({LINE_SCHEMA}) USING text "
-        f"OPTIONS (recursiveFileLookup 'true') LOCATION '{quoted}'"
+    """Create an external table over ``root``, at any directory depth, and return it.
+
+    A table of that name is replaced only if it is an external one at the same place: then
+    nothing but its entry in the catalog goes.
+    """
+    if spark.catalog.tableExists(name):
+        facts = {r[0]: r[1] for r in spark.sql(
+            "DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name}
+        ).collect()}
+        if facts.get("Type") != "EXTERNAL" or _plain(facts.get("Location", "")) != _plain(root):
+            raise ValueError(f"{name} is another table: {facts.get('Type')} {facts.get('Location')}")
+        spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+    schema = spark.createDataFrame([], LINE_SCHEMA).schema
+    return spark.catalog.createTable(
+        name, path=root, source="text", schema=schema, recursiveFileLookup="true"
     )
-    return spark.table(name)
+
+
+def _plain(location: str) -> str:
+    return location.removeprefix("file:").rstrip("/").replace("//", "/")
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:

@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 import time
-from collections import deque
 from collections.abc import Callable
+from threading import Lock
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 # The states of a job.
-READY, STARTING, RUNNING, STOPPING, DELETING = "READY", "STARTING", "RUNNING", "STOPPING", "DELETING"
-FAILED = "FAILED"
+READY, STARTING, RUNNING, STOPPING = "READY", "STARTING", "RUNNING", "STOPPING"
+RESTARTING, FAILED = "RESTARTING", "FAILED"
 
 PROGRESS_SCHEMA = (
     "name string, batchId long, timestamp string, numInputRows long, "
     "inputRowsPerSecond double, processedRowsPerSecond double, durationMs long"
 )
+ENDED_SCHEMA = "runId string, error string"
 
 
 class StreamJob:
     """A named streaming job on one checkpoint.
 
     ``build`` makes the writer; its checkpoint carries the position, so a start after a
-    stop, a failure or a redeploy goes on where the last committed batch ended.
+    stop, a failure or a redeploy goes on where the last committed batch ended. After a
+    failure the job is ``RESTARTING`` up to ``restarts`` times: ``wait_for``, ``wait_for_end``
+    or ``restart`` start it again.
     """
 
-    def __init__(self, build: Callable[[], DataStreamWriter]) -> None:
+    def __init__(self, build: Callable[[], DataStreamWriter], restarts: int = 0) -> None:
         self.build = build
+        self.restarts_left = restarts
         self.query: StreamingQuery | None = None
         self._stopping = False
 
@@ -45,7 +50,27 @@ class StreamJob:
             if self._stopping:
                 return STOPPING
             return RUNNING if self.query.lastProgress else STARTING
-        return FAILED if self.query.exception() else READY
+        if not self.query.exception():
+            return READY
+        return RESTARTING if self.restarts_left else FAILED
+
+    def restart(self) -> StreamJob:
+        """Go on from the last committed batch after a failure."""
+        if self.status() != RESTARTING:
+            raise RuntimeError(f"a job that is {self.status()} has no restart left")
+        self.restarts_left -= 1
+        return self.start()
+
+    def wait_for_end(self) -> None:
+        """Wait until the job has done all there is, restarting it while that is allowed."""
+        while True:
+            try:
+                self.query.awaitTermination()
+                return
+            except StreamingQueryException:
+                if self.status() != RESTARTING:
+                    raise
+                self.restart()
 
     def failure(self) -> str | None:
         """Text of the error that ended the job."""
@@ -81,6 +106,8 @@ class StreamJob:
             now = self.status()
             if now == state:
                 return
+            if now == RESTARTING:
+                self.restart()
             if now == FAILED:
                 raise RuntimeError(f"job failed: {self.failure()}")
             if attempt + 1 < polls:
@@ -115,11 +142,17 @@ def progress_table(spark: SparkSession, entries) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the latest progress reports of all queries of a session."""
+    """Keeps every progress report and ending of the queries of a session.
+
+    Reports are held until there are ``batch`` of them and then appended to Parquet tables in
+    ``folder``, which all machines share: nothing is dropped, and memory stays bounded.
+    """
 
-    def __init__(self, keep: int = 1000) -> None:
-        self.entries: deque = deque(maxlen=keep)
-        self.ended: deque = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, folder: str, batch: int = 1000) -> None:
+        self.spark, self.folder, self.batch = spark, folder.rstrip("/"), batch
+        self.entries: list[dict] = []
+        self.ended: list[tuple] = []
+        self._lock = Lock()
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -138,9 +171,39 @@ class ProgressLog(StreamingQueryListener):
                 "durationMs": dict(p.durationMs),
             }
         )
+        if len(self.entries) >= self.batch:
+            self.flush()
 
     def onQueryTerminated(self, event) -> None:
         self.ended.append((str(event.runId), event.exception))
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return progress_table(spark, list(self.entries))
+        if len(self.ended) >= self.batch:
+            self.flush()
+
+    def flush(self) -> None:
+        """Write what is held."""
+        with self._lock:
+            entries, self.entries = self.entries, []
+            ended, self.ended = self.ended, []
+            if entries:
+                table = progress_table(self.spark, entries)
+                table.coalesce(1).write.mode("append").parquet(f"{self.folder}/progress")
+            if ended:
+                table = self.spark.createDataFrame(ended, ENDED_SCHEMA)
+                table.coalesce(1).write.mode("append").parquet(f"{self.folder}/ended")
+
+    def table(self) -> DataFrame:
+        """All progress reports so far."""
+        self.flush()
+        return self._read("progress", PROGRESS_SCHEMA)
+
+    def endings(self) -> DataFrame:
+        """``runId, error`` of all queries that ended so far."""
+        self.flush()
+        return self._read("ended", ENDED_SCHEMA)
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        empty = self.spark.createDataFrame([], schema)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return empty
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.functions.records import MAX_LINE_BYTES
 from millrace.operators.policy import RollPolicy
+from millrace.sources.generator import LiveRecords
+from millrace.sources.tables import CSV_OPTIONS
 
 
 def by_bucket(records: DataFrame, spread: bool) -> DataFrame:
@@ -22,12 +24,12 @@ def by_bucket(records: DataFrame, spread: bool) -> DataFrame:
 
 
 def text_writer(
-    records: DataFrame,
+    records: DataFrame | LiveRecords,
     root: str,
     checkpoint: str,
     policy: RollPolicy = RollPolicy(),
     name: str | None = None,
-    trigger_s: float = 60,
+    trigger_s: float | None = None,
     available_now: bool = False,
     spread: bool = False,
     max_line_bytes: int = MAX_LINE_BYTES,
@@ -35,10 +37,24 @@ def text_writer(
     """Writer of a record stream to ``root/bucket=<hour>/``.
 
     Every micro-batch closes its files, so the trigger bounds age and idle time of a part;
-    ``maxRecordsPerFile`` bounds its size. Files count once the batch is committed.
+    ``maxRecordsPerFile`` bounds its size, for lines of at most ``max_line_bytes``: a longer
+    one fails the batch. Files count once the batch is committed. The trigger is the shortest
+    of ``trigger_s`` (60 s) and the two limits; a generated stream has its own and is refused
+    if that is longer, as another one would change its rate and instants.
     """
-    if policy.max_age_s is not None:
-        trigger_s = min(trigger_s, policy.max_age_s)
+    limits = [x for x in (policy.max_age_s, policy.max_idle_s) if x is not None]
+    if isinstance(records, LiveRecords):
+        if trigger_s not in (None, records.trigger_s):
+            raise ValueError(f"the records are paced for a trigger of {records.trigger_s} s")
+        trigger_s = records.trigger_s
+        if not available_now and trigger_s > min([trigger_s, *limits]):
+            raise ValueError(f"a trigger of {trigger_s} s breaks the limits of {policy}")
+        records = records.frame
+    trigger_s = min([60 if trigger_s is None else trigger_s, *limits])
+    if policy.max_bytes is not None:
+        fits = F.octet_length("foams") < max_line_bytes
+        long_line = F.raise_error(F.lit(f"a line is longer than {max_line_bytes} bytes"))
+        records = records.withColumn("foams", F.when(fits | F.col("foams").isNull(), F.col("foams")).otherwise(long_line))
     writer = (
         by_bucket(records, spread)
         .writeStream.format("text")
@@ -55,11 +71,12 @@ def text_writer(
     return writer.trigger(processingTime=f"{round(trigger_s * 1000)} milliseconds")
 
 
-def write_stream(records: DataFrame, root: str, checkpoint: str, **options) -> StreamingQuery:
+def write_stream(records: DataFrame | LiveRecords, root: str, checkpoint: str, **options) -> StreamingQuery:
     """Start the stream that :func:`text_writer` describes."""
     return text_writer(records, root, checkpoint, **options).start()
 
 
 def export_csv(rows: DataFrame, path: str, mode: str = "error") -> None:
-    """Headerless CSV result."""
-    rows.write.mode(mode).option("header", False).csv(path)
+    """Headerless CSV result. Every value is quoted, so spaces at the ends, separators, quotes
+    and line ends survive."""
+    rows.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", True).csv(path)

@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as driver
 from oracle import compare, connect
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from millrace.plans.oracles import ORACLES as SQL
+from millrace.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,8 +14,9 @@ def db(small):
     return connect(small)
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

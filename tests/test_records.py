@@ -7,6 +7,7 @@ from millrace.functions import records as R
 from millrace.sources.generator import bounded_records, to_micros
 
 START = datetime(2025, 10, 10, 17, 15, 23, 456000, timezone.utc)
+# Fixed values below: the documented records and variants of their format.
 
 
 def one(spark, column):
@@ -103,3 +104,27 @@ def test_own_render(spark):
 def test_to_micros():
     assert to_micros(START) == 1_760_116_523_456_000
     assert to_micros(START.replace(tzinfo=None)) == 1_760_116_523_456_000
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_text_and_bucket_are_utc_in_any_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        test_golden_lines(spark)
+        # An hour that the first zone has twice, and a zoneless column.
+        for us in (1_762_061_400_000_000, 1_762_065_000_000_000):
+            instant = F.timestamp_micros(F.lit(us))
+            hour = datetime.fromtimestamp(us / 1e6, timezone.utc)
+            assert one(spark, R.hour_bucket(instant)) == f"{hour:%Y-%m-%d--%H}"
+            assert one(spark, R.iso_instant(instant)) == f"{hour:%Y-%m-%dT%H:%M:%SZ}"
+        plain = spark.sql("SELECT 1L AS i, TIMESTAMP_NTZ '2025-03-09 02:30:00' AS t")
+        row = R.as_records(plain, F.col("i"), F.col("t")).first()
+        assert row.bucket == "2025-03-09--02" and row.foams.endswith("2025-03-09T02:30:00Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_long_index_is_read_whole(spark):
+    line = "Record-" + "0" * 90 + "17: Data from foams column at 2025-10-10T17:15:23Z"
+    assert one(spark, R.record_index(F.lit(line))) == 17

@@ -3,15 +3,20 @@ from types import SimpleNamespace
 
 import pytest
 
-from millrace import RollPolicy, scratch_path, tune
+from millrace import RollPolicy, scratch_path, ship_package
 from millrace.operators.policy import OFF
 from millrace.session import SETTINGS, checkpoint_root
 
 
-def test_settings_are_applied(spark):
+def test_queries_leave_the_settings_of_the_session(spark):
+    before = {k: spark.conf.get(k) for k in SETTINGS}
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    tune(spark)
-    assert all(spark.conf.get(k) == v for k, v in SETTINGS.items())
+    try:
+        ship_package(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 class FakeContext:

@@ -1,5 +1,5 @@
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -41,11 +41,47 @@ def until(condition, seconds=60):
 
 def test_rate_and_instants(spark, place):
     once(stream_records(spark, rate=2, trigger_s=60, partitions=3), place)
-    rows = parse_records(scan_table(spark, place[0])).orderBy("index").collect()
+    now = datetime.now(timezone.utc).timestamp()
+    rows = parse_records(scan_table(spark, place[0])).select("index", F.unix_micros("ts").alias("us"))
+    rows = rows.orderBy("index").collect()
     assert [r["index"] for r in rows] == list(range(120))
-    gaps = {(b.ts - a.ts).total_seconds() for a, b in zip(rows, rows[1:])}
-    assert gaps == {0.5}
-    assert abs((rows[0].ts - datetime.now()).total_seconds()) < 3600 * 24
+    assert {b.us - a.us for a, b in zip(rows, rows[1:])} == {500_000}
+    assert now - 90 < rows[0].us / 1e6 < rows[-1].us / 1e6 < now
+
+
+@pytest.mark.parametrize("rate, trigger_s, catch_up", [(0.4, 1, False), (2.5, 1, False), (0.4, 1, True)])
+def test_a_rate_that_cannot_be_kept_is_refused(spark, rate, trigger_s, catch_up):
+    with pytest.raises(ValueError, match="no whole number"):
+        stream_records(spark, rate=rate, trigger_s=trigger_s, catch_up=catch_up)
+
+
+@pytest.mark.parametrize("policy, trigger_s", [
+    (RollPolicy(max_age_s=2, max_idle_s=None), None), (RollPolicy(max_age_s=None, max_idle_s=2), None),
+    (RollPolicy(), 5),
+])
+def test_a_writer_keeps_the_trigger_of_the_records(spark, place, policy, trigger_s):
+    with pytest.raises(ValueError, match="trigger of 10"):
+        text_writer(stream_records(spark, rate=2, trigger_s=10), *place, policy=policy, trigger_s=trigger_s)
+
+
+def test_live_rate_order_and_clock(spark, place):
+    policy = RollPolicy(max_age_s=60, max_idle_s=1)
+    begun = time.time()
+    query = write_stream(stream_records(spark, rate=10, trigger_s=1), *place, policy=policy)
+    until(lambda: len(query.recentProgress) >= 5)
+    query.stop()
+    seconds = time.time() - begun
+    rows = parse_records(scan_table(spark, place[0])).select("index", F.unix_micros("ts").alias("us"))
+    rows = rows.orderBy("index").collect()
+    assert 40 <= len(rows) <= 10 * (seconds + 2)
+    assert all(a.us < b.us for a, b in zip(rows, rows[1:]))
+    assert rows[-1].us / 1e6 < time.time()
+
+
+def test_a_line_that_breaks_the_size_limit_fails(spark, place):
+    records = stream_records(spark, rate=5, trigger_s=1, render=lambda i, t: F.repeat(F.lit("x"), 82))
+    with pytest.raises(StreamingQueryException, match="longer than 82 bytes"):
+        once(records, place)
 
 
 def test_no_catch_up_after_a_pause(spark, place):
@@ -56,7 +92,7 @@ def test_no_catch_up_after_a_pause(spark, place):
 
 
 def test_catch_up_uses_the_other_source(spark):
-    stream = stream_records(spark, rate=5, catch_up=True)
+    stream = stream_records(spark, rate=5, catch_up=True).frame
     assert stream.isStreaming and stream.columns == ["index", "ts", "foams", "bucket"]
 
 
@@ -119,7 +155,7 @@ def test_a_hot_hour_is_split_over_tasks(spark, place, tmp_path):
 def live(spark, place, rate=200, render=record_text):
     def build():
         records = stream_records(spark, rate=rate, trigger_s=0.5, partitions=2, render=render)
-        return text_writer(records, *place, name="live", trigger_s=0.5)
+        return text_writer(records, *place, name="live")
 
     return build
 
@@ -178,21 +214,50 @@ def test_wait_times_out(spark, place):
         StreamJob(live(spark, place)).wait_for(jobs.RUNNING, polls=3, interval_s=0.01)
 
 
-def test_trigger_is_bounded_by_the_age_limit(spark, place):
-    writer = text_writer(stream_records(spark), *place, policy=RollPolicy(max_age_s=1), trigger_s=60)
-    job = StreamJob(lambda: writer).start()
-    until(lambda: len(job.query.recentProgress) >= 3)
+def test_trigger_is_bounded_by_the_limits(spark, place, tmp_path):
+    path = str(tmp_path / "src.parquet")
+    bounded_records(spark, 3, START).select("index", "ts").write.parquet(path)
+    source = as_records(replay_stream(spark, path), F.col("index"), F.col("ts"))
+    for limits in ({"max_age_s": 1}, {"max_age_s": None, "max_idle_s": 1}):
+        writer = text_writer(source, place[0], place[1] + str(limits["max_age_s"]),
+                             policy=RollPolicy(**limits))
+        query = writer.start()
+        assert query._jsq.toString() is not None
+        until(lambda: query.lastProgress is not None)
+        query.stop()
+
+
+def test_bounded_restarts(spark, place):
+    left = [True, True]
+
+    def render(index, ts):
+        if left and left.pop():
+            return F.when(index >= 100, F.raise_error(F.lit("lost"))).otherwise(record_text(index, ts))
+        return record_text(index, ts)
+
+    job = StreamJob(live(spark, place, render=render), restarts=2).start()
+    with pytest.raises(StreamingQueryException):
+        job.query.awaitTermination(60)
+    assert job.status() == jobs.RESTARTING
+    job.restart()
+    with pytest.raises(StreamingQueryException):
+        job.query.awaitTermination(60)
+    job.wait_for(jobs.RUNNING, polls=300, interval_s=0.2)
     job.stop(force=True)
+    assert job.restarts_left == 0
+    records, distinct, first, last = profile(spark, place[0])
+    assert records == distinct == last + 1 and first == 0 and records >= 100
 
 
-def test_progress_log(spark, place):
-    log = ProgressLog(keep=50)
+def test_progress_log_keeps_everything(spark, place, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "log"), batch=1)
+    assert log.table().count() == 0
     spark.streams.addListener(log)
     try:
-        once(stream_records(spark, rate=25, trigger_s=1), place, name="logged")
-        until(lambda: any(e["numInputRows"] == 25 for e in list(log.entries)))
-        until(lambda: len(log.ended) >= 1)
+        for _ in range(3):
+            once(stream_records(spark, rate=25, trigger_s=1), place, name="logged")
+        until(lambda: log.endings().count() >= 3)
     finally:
         spark.streams.removeListener(log)
-    row = log.table(spark).filter("name = 'logged' and numInputRows > 0").first()
-    assert row["numInputRows"] == 25 and row["durationMs"] > 0
+    rows = log.table().filter("name = 'logged' and numInputRows > 0").collect()
+    assert [r["numInputRows"] for r in rows] == [25] * 3 and all(r["durationMs"] > 0 for r in rows)

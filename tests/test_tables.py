@@ -8,6 +8,7 @@ from millrace.sources.generator import bounded_records
 from millrace.streaming.sink import export_csv
 
 START = datetime(2025, 10, 10, 17, 59, 0)
+# Fixed values below: directory and part names of the documented layout.
 
 
 @pytest.fixture()
@@ -79,8 +80,24 @@ def test_registered_table(spark, own, foreign):
     tables.register_table(spark, "own_records", own)
     assert spark.sql("SELECT COUNT(*) FROM own_records").first()[0] == 400
     assert len(spark.sql("SELECT * FROM own_records LIMIT 10").collect()) == 10
-    tables.register_table(spark, "own_records", foreign)
-    assert spark.table("own_records").count() == 9
+    assert tables.register_table(spark, "own_records", own).count() == 400
+    with pytest.raises(ValueError, match="another table"):
+        tables.register_table(spark, "own_records", foreign)
+    assert spark.table("own_records").count() == 400
+
+
+def test_a_managed_table_is_not_replaced(spark, own):
+    spark.range(3).write.saveAsTable("managed_rows", mode="overwrite")
+    with pytest.raises(ValueError, match="MANAGED"):
+        tables.register_table(spark, "managed_rows", own)
+    assert spark.table("managed_rows").count() == 3
+
+
+def test_a_foreign_layout_is_refused_not_empty(spark, foreign):
+    for scan in (tables.scan_table, lambda s, r: tables.scan_bucket(s, r, "2025-10-10--17")):
+        with pytest.raises(ValueError, match="use scan_foreign"):
+            scan(spark, foreign)
+    assert tables.scan_foreign_bucket(spark, foreign, "2025-10-10--17").count() == 5
 
 
 def test_bucket_filter_prunes_directories(spark, own):
@@ -97,3 +114,18 @@ def test_csv_round_trip(spark, tmp_path):
     back = tables.scan_csv(spark, path)
     assert back.columns == ["foams"]
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, records.collect()))
+
+
+def test_csv_keeps_awkward_text(spark, tmp_path):
+    texts = [" lead", "t ", "", None, "x\ny", "a,b", 'say "hi"', "\\", "\\N", "tab\t", '"', "é, ü"]
+    rows = spark.createDataFrame([(t,) for t in texts], "foams string").coalesce(1)
+    path = str(tmp_path / "csv")
+    export_csv(rows, path)
+    back = [r[0] for r in tables.scan_csv(spark, path).collect()]
+    assert sorted(back, key=str) == sorted(texts, key=str)
+
+
+def test_csv_with_too_many_fields_fails(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("a,b\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        tables.scan_csv(spark, str(tmp_path / "bad.csv")).collect()
