@@ -12,16 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.session import scratch_path, ship_package
 
-SLICE_BYTES = 4 << 20
-CACHED_WORDS = 300_000
+SLICE_BYTES = 2 << 20
 
 WHITE = b" \t\n\x0b\x0c\r"
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+lower_case = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)
@@ -38,7 +36,7 @@ def white_words(text: bytes) -> list[bytes]:
 
 def lower_white_words(text: bytes) -> list[bytes]:
     """The same of the text with A-Z in lower case."""
-    return text.translate(_LOWER).split()
+    return text.translate(lower_case).split()
 
 
 def letter_words(text: bytes) -> list[bytes]:
@@ -46,21 +44,10 @@ def letter_words(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
-class _Hashes(dict):
-    """64-bit hash of a word, remembered for up to ``CACHED_WORDS`` words of a worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """64-bit hash of each word. Spark gives all Python workers of an application one hash
+    seed, so they agree; a process without one has only itself to agree with."""
+    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -112,8 +99,10 @@ class Slice:
         return np.flatnonzero(rows[:last] == rows[width - 1 :])
 
 
-def slices(batches: Iterator[pa.RecordBatch], split, text: str = "text") -> Iterator[Slice]:
-    """Cut Arrow batches into slices of bounded size; null texts are empty."""
+def slices(
+    batches: Iterator[pa.RecordBatch], split, text: str = "text", most: int = SLICE_BYTES
+) -> Iterator[Slice]:
+    """Cut Arrow batches into slices of about ``most`` bytes; null texts are empty."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
         sizes = np.diff(np.frombuffer(column.buffers()[1], np.int64)[
@@ -121,7 +110,7 @@ def slices(batches: Iterator[pa.RecordBatch], split, text: str = "text") -> Iter
         ]) if len(column) else np.zeros(0, np.int64)
         first, size = 0, 0
         for i in range(len(sizes)):
-            if size and size + sizes[i] > SLICE_BYTES:
+            if size and size + sizes[i] > most:
                 yield _slice(batch, column, first, i, split)
                 first, size = i, 0
             size += int(sizes[i]) + 64
@@ -179,11 +168,15 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """Hash of the id and the text of a row; a null id differs from all others."""
+    return F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
+
+
 def with_key(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id, row_key`` and the named columns. Rows that agree in id and text share a key
     and hence every result; null ids and repeated ids with other texts stay apart."""
-    key = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
-    return docs.select("doc_id", key.alias("row_key"), *columns)
+    return docs.select("doc_id", row_key().alias("row_key"), *columns)
 
 
 def attach(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -202,6 +195,7 @@ def number(rows: DataFrame, groups: list[str], salt: Column, order: list, name:
     ``total``, so a bucket holds about ``most`` rows at any size and skew.
     """
     buckets = -(-total // most) + 8
+    columns = rows.columns
     rows = rows.withColumn("_bucket", F.pmod(salt, F.lit(buckets)).cast("int"))
     keys = [*groups, "_bucket"]
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
@@ -210,29 +204,65 @@ def number(rows: DataFrame, groups: list[str], salt: Column, order: list, name:
     )
     offsets = counts.select(*keys, (F.sum("_rows").over(before) - F.col("_rows")).alias("_first"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (
-        rows.join(offsets, keys)
-        .withColumn(name, F.col("_first") + inside - 1)
-        .drop("_bucket", "_first")
-    )
+    return rows.join(offsets, keys).select(*columns, (F.col("_first") + inside - 1).alias(name))
 
 
 # A filter of fixed size says for sure that a hash was not seen. It bounds what is
 # broadcast: beyond its capacity it lets more through, which costs time, never rows.
 FILTER_BITS = 28
 FILTER_PROBES = 3
-_PART_BITS = 20
+PART_BITS = 20
 
 
-def filter_positions(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Bit positions of each hash: one column per probe, all in one 512-bit line so that a
-    lookup touches one place in memory."""
-    line = (hashes >> U(64 - (bits - 9))).astype(np.int64) << 9
-    spread = hashes * ODD_1
-    return np.stack(
-        [line | ((spread >> U(9 * i + 3)) & U(511)).astype(np.int64) for i in range(FILTER_PROBES)],
-        axis=1,
-    )
+def filter_position(hashes: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """Bit of each hash for a probe; all probes of a hash lie in one line of 512 bits, so that
+    a lookup touches one place in memory."""
+    line = (hashes >> U(64 - (bits - 9))) << U(9)
+    return (line | ((hashes * ODD_1 >> U(9 * probe + 3)) & U(511))).astype(np.int64)
+
+
+def set_bits(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Set the bits of hashes in a part of the filter, a byte per bit; tells which were set."""
+    seen = np.ones(len(hashes), bool)
+    for probe in range(FILTER_PROBES):
+        at = filter_position(hashes, probe, bits) & (len(bitmap) - 1)
+        seen &= bitmap[at] == 1
+    for probe in range(FILTER_PROBES):
+        bitmap[filter_position(hashes, probe, bits) & (len(bitmap) - 1)] = 1
+    return seen
+
+
+def hash_chunks(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """Hashes of a binary column, about ``most`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for raw in batch.column("hashes"):
+            held.append(np.frombuffer(raw.as_buffer(), np.uint64) if raw.is_valid else EMPTY)
+            size += len(held[-1])
+            if size >= most:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+EMPTY = np.empty(0, np.uint64)
+
+
+def filter_parts(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of a filter that ascending hashes fall in, and where each part's end."""
+    part = values >> U(63 - (bits - min(PART_BITS, bits))) >> U(1)
+    ends = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(values)]])
+    return part[ends[:-1]].astype(np.int32), ends
+
+
+def join_filter(parts: DataFrame, bits: int) -> np.ndarray:
+    """The filter from its parts ``part, bits``."""
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    size = (1 << min(PART_BITS, bits)) // 8
+    for row in parts.collect():  # the size of the filter
+        whole[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return whole
 
 
 def build_filter(hashed: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -241,19 +271,14 @@ def build_filter(hashed: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     Tasks send hashes to the part of the filter they fall in; parts are put together by tasks
     and only the filter itself, 2^bits bits, comes to the driver.
     """
-    part_bits = min(_PART_BITS, bits)
+    part_bits = min(PART_BITS, bits)
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("part", pa.int32()), ("hashes", pa.binary())])
-        for batch in batches:
-            raw = b"".join(x for x in batch.column("hashes").to_pylist() if x)
-            values = np.unique(np.frombuffer(raw, np.uint64))
-            if not len(values):
-                continue
-            part = values >> U(63 - (bits - part_bits)) >> U(1)
-            ends = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(values)]])
-            yield table({"part": part[ends[:-1]].astype(np.int32),
-                         "hashes": binary_list(values, ends)}, schema)
+        for values in hash_chunks(batches):
+            values = np.unique(values)
+            part, ends = filter_parts(values, bits)
+            yield table({"part": part, "hashes": binary_list(values, ends)}, schema)
 
     def gather(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
@@ -261,8 +286,7 @@ def build_filter(hashed: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
         bitmap = np.zeros(1 << part_bits, np.uint8)
         for batch in batches:
             for raw in batch.column("hashes"):
-                at = filter_positions(np.frombuffer(raw.as_buffer(), np.uint64), bits)
-                bitmap[at.ravel() & ((1 << part_bits) - 1)] = 1
+                set_bits(bitmap, np.frombuffer(raw.as_buffer(), np.uint64), bits)
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(bitmap).tobytes()]}
         )
@@ -273,19 +297,17 @@ def build_filter(hashed: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
         .groupBy("part")
         .applyInArrow(gather, "part int, bits binary")
     )
-    whole = np.zeros((1 << bits) // 8, np.uint8)
-    size = (1 << part_bits) // 8
-    for row in parts.collect():
-        whole[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return whole
+    return join_filter(parts, bits)
 
 
 def in_filter(filter_: np.ndarray, hashes: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
-    at = filter_positions(hashes, bits)
-    hit = np.ones(len(hashes), bool)
-    for i in range(at.shape[1]):
-        p = at[:, i]
-        hit &= (filter_[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
+    """Whether each hash may have been seen; later probes look only at what passed before."""
+    at = np.arange(len(hashes))
+    for probe in range(FILTER_PROBES):
+        p = filter_position(hashes[at], probe, bits)
+        at = at[(filter_[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1]
+    hit = np.zeros(len(hashes), bool)
+    hit[at] = True
     return hit
 
 

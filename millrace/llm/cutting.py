@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.common import build_filter, in_filter, pack_hashes, slices
 
 DOC_BITS = 24
+# Names that no table has.
+HELPERS = ("cut key", "cut hash", "cut runs")
+_MET = "cut met"
 
 
 def cut(
@@ -23,10 +26,10 @@ def cut(
     """
     filter_ = build_filter(pack_hashes(runs.select(F.xxhash64("key").alias("h"))), DOC_BITS)
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
-    rows = docs.select(*columns, key.alias("_key")).withColumn("_h", F.xxhash64("_key"))
+    rows = docs.select(*columns, key.alias(HELPERS[0])).withColumn(HELPERS[1], F.xxhash64(HELPERS[0]))
 
     def chosen(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
-        keys = batch.column("_h").to_numpy(zero_copy_only=False).view(np.uint64)
+        keys = batch.column(HELPERS[1]).to_numpy(zero_copy_only=False).view(np.uint64)
         return batch.filter(pa.array(in_filter(shared.value, keys, DOC_BITS) == want))
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,9 +42,9 @@ def cut(
 
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, lambda _: []):
-            yield change(part.batch, part.texts, part.batch.column("_runs").to_pylist())
+            yield change(part.batch, part.texts, part.batch.column(HELPERS[2]).to_pylist())
 
-    found = runs.select(F.col("key").alias("_k"), F.col("runs").alias("_runs"))
+    found = runs.select(F.col("key").alias(_MET), F.col("runs").alias(HELPERS[2]))
     some = rows.mapInArrow(touched, rows.schema)
-    met = some.join(found, some["_key"] == found["_k"], "left")
+    met = some.join(found, some[HELPERS[0]] == found[_MET], "left")
     return rows.mapInArrow(whole, schema).union(met.mapInArrow(shortened, schema))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, ODD_2, U, binary_list, build_filter, in_filter, keep, mix, session, slices, table,
+    ODD_1, ODD_2, U, binary_list, build_filter, in_filter, keep, mix, row_key, session, slices, table,
     with_key,
 )
 from millrace.llm.cutting import cut
@@ -43,8 +43,8 @@ GRAM = 64
 SHALLOW = 32
 HOT = 2000
 HOT_BITS = 24
-PIECE = 1 << 20  # texts are hashed in pieces of this size that overlap by a window
-FLUSH_BYTES = 32 << 20
+PIECE = 1 << 19  # texts are hashed in pieces of this size that overlap by a window
+FLUSH_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 
 _STEP = 0x9E3779B97F4A7C15
@@ -192,7 +192,7 @@ def anchor_counts(docs: DataFrame, width: int, buckets: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for part in slices(batches, lambda _: []):
+        for part in slices(batches, lambda _: [], most=PIECE):
             held.append(Pieces(part.texts, width).hash)
             size += len(held[-1])
             if size > 2_000_000:
@@ -378,7 +378,7 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(width, buckets)
-        for part in slices(batches, lambda _: []):
+        for part in slices(batches, lambda _: [], most=PIECE):
             found = Pieces(part.texts, width)
             keys = part.batch.column("row_key").to_numpy(zero_copy_only=False)[found.rows]
             use = np.flatnonzero(in_filter(again.value, found.hash))
@@ -482,8 +482,7 @@ def digest(docs: DataFrame, runs: DataFrame) -> DataFrame:
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    key = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
-    return cut(docs, runs, key, change,
+    return cut(docs, runs, row_key(), change,
                f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
                ["doc_id", "text"])
 
