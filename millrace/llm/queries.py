@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding
-from millrace.llm import substring_dedup, suffix_dedup, url_filter
+from millrace.llm import (
+    classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding,
+    substring_dedup, suffix_dedup, url_filter,
+)
 from millrace.llm.common import keep, read
+from millrace.llm.oracles import ORACLES
 
 
 def vocabulary() -> str:
@@ -17,11 +20,16 @@ def vocabulary() -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(read(spark, sf_dir, "documents"))
+    found = license_scan.scan(read(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 9)).drop("n_probes")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(read(spark, sf_dir, "documents"))
+    judged = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +77,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(docs, keep(substring_dedup.removals(docs), "runs"))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_quality_rules, op3_url_filter, op4_suffix_dedup, op5_decontamination, op6_packing, op7_sharding,
+    op1_license_scan, op2_quality_rules, op3_url_filter, op4_suffix_dedup, op5_decontamination,
+    op6_packing, op7_sharding,
     op8_near_duplicates, op9_quality_classifier,
     op10_substring_dedup,
 )}
-ORACLES: dict[str, str] = {}
