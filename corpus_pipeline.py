@@ -7,10 +7,10 @@ and read again, so a lost executor never costs more than a stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import classifier, decontamination, near_dups, packing, substring_dedup
-from millrace.llm.common import keep, read, with_key
+from millrace.llm.common import keep, read, row_key
 from millrace.llm.queries import vocabulary
 
 SIMILARITY = near_dups.Likeness(words=5, percent=80)
@@ -22,18 +22,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return classifier.filter_documents(docs, read(spark, sf_dir, "labels"))
 
 
+def marked(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, Column]:
+    """Keys of the rows found and the condition to meet them."""
+    keys = found.select(F.col("doc_id").alias("found id"), F.col("row_key").alias("found key"))
+    return keys, docs["doc_id"].eqNullSafe(keys["found id"]) & (row_key() == keys["found key"])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five words, similarity 0.8."""
+    """One document of each group of near duplicates stays: five words, similarity 0.8.
+    Repeated rows of a document are that document."""
     found = near_dups.near_duplicates(docs, SIMILARITY)
-    kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).union(
-        docs.filter("doc_id is null")
-    )
+    return docs.join(*marked(docs, found.filter("kept")), "left_semi")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of words that an earlier document has too are cut; a document with nothing left
-    goes."""
+    """Runs of words that an earlier document has too are cut."""
     runs = keep(substring_dedup.removals(docs, REPEATED_WORDS), "runs")
     return substring_dedup.shorten(docs, runs)
 
@@ -41,10 +44,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     found = decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    bad = found.filter("n_hit > 0").select("doc_id", "row_key")
-    keyed = with_key(docs, *[c for c in docs.columns if c != "doc_id"])
-    same = (keyed["row_key"] == bad["row_key"]) & keyed["doc_id"].eqNullSafe(bad["doc_id"])
-    return keyed.join(bad, same, "left_anti").select(docs.columns)
+    return docs.join(*marked(docs, found.filter("n_hit > 0")), "left_anti")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
