@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, U, binary_list, build_filter, in_filter, mix, session, slices, table, white_words,
+    EMPTY, FILTER_BITS, ODD_1, PART_BITS, U, binary_list, build_filter, filter_parts, hash_chunks,
+    in_filter, join_filter, keep, mix, row_key, session, set_bits, slices, table, white_words,
     window_hashes, with_key,
 )
 from millrace.llm.cutting import cut
 
-FLUSH = 2_000_000  # windows a task holds before it settles and sends them
+FLUSH = 250_000  # windows a task holds before it settles and sends them
+SLICE = 1 << 20  # text handled at once
 BUCKET_BYTES = 8 << 20  # text behind a bucket
 
 
@@ -42,7 +44,7 @@ def block_hashes(docs: DataFrame, block: int) -> DataFrame:
     """``hashes``: the blocks of the reference documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, white_words):
+        for part in slices(batches, white_words, most=SLICE):
             rolled = window_hashes(part.hashes(), block, block)
             at = part.starts(block)
             own = at[(at - part.bounds[part.rows()[at]]) % block == 0]
@@ -57,7 +59,7 @@ def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, white_words):
+        for part in slices(batches, white_words, most=SLICE):
             rolled = window_hashes(part.hashes(), block, block)
             at = part.starts(block)
             off = at[(at - part.bounds[part.rows()[at]]) % block != 0]
@@ -67,33 +69,38 @@ def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "hashes binary")
 
 
-def repeated_blocks(blocks: DataFrame, buckets: int) -> DataFrame:
-    """``hashes``: blocks that are there twice or more."""
+def index_blocks(blocks: DataFrame) -> DataFrame:
+    """``part, bits, hashes``: the parts of the index, and in rows without bits the blocks that
+    were there before, or almost surely so."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-        for batch in batches:
-            raw = b"".join(batch.column("hashes").to_pylist())
-            values, times = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
-            bucket = (mix(values) % U(buckets)).astype(np.int64)
-            for b in np.unique(bucket).tolist():
-                here = bucket == b
-                yield table({"bucket": [b], "once": [values[here & (times == 1)].tobytes()],
-                             "twice": [values[here & (times > 1)].tobytes()]}, schema)
+        schema = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("times", pa.binary())])
+        for values in hash_chunks(batches):
+            values, times = np.unique(values, return_counts=True)
+            part, ends = filter_parts(values, FILTER_BITS)
+            yield table({"part": part, "hashes": binary_list(values, ends),
+                         "times": binary_list(np.minimum(times, 2).astype(np.uint8), ends)}, schema)
 
     def gather(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
-        once, twice = [], []
+        schema = pa.schema([("part", pa.int32()), ("bits", pa.binary()), ("hashes", pa.binary())])
+        bitmap = np.zeros(1 << PART_BITS, np.uint8)
+        part = key[0].as_py()
         for batch in batches:
-            once += batch.column("once").to_pylist()
-            twice += batch.column("twice").to_pylist()
-        values, times = np.unique(np.frombuffer(b"".join(once), np.uint64), return_counts=True)
-        yield _one(np.concatenate([values[times > 1], np.frombuffer(b"".join(twice), np.uint64)]))
+            again = []
+            for raw, times in zip(batch.column("hashes"), batch.column("times")):
+                values = np.frombuffer(raw.as_buffer(), np.uint64)
+                twice = np.frombuffer(times.as_buffer(), np.uint8) > 1
+                again.append(values[set_bits(bitmap, values, FILTER_BITS) | twice])
+            yield table({"part": [part], "bits": [None],
+                         "hashes": [np.concatenate([EMPTY, *again]).tobytes()]}, schema)
+        yield table({"part": [part], "bits": [np.packbits(bitmap).tobytes()], "hashes": [b""]}, schema)
 
-    return blocks.mapInArrow(split, "bucket int, once binary, twice binary").groupBy(
-        "bucket"
-    ).applyInArrow(gather, "hashes binary")
+    return (
+        blocks.mapInArrow(split, "part int, hashes binary, times binary")
+        .groupBy("part").applyInArrow(gather, "part int, bits binary, hashes binary")
+    )
 
 
 def _one(values: np.ndarray) -> pa.RecordBatch:
@@ -167,15 +174,15 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES // 2)
     known = docs.filter(F.col("doc_id").isNotNull())
-    blocks = block_hashes(known, block)
-    index = build_filter(blocks)
-    hit = build_filter(hit_hashes(known, block, index).union(repeated_blocks(blocks, buckets)))
+    indexed = keep(index_blocks(block_hashes(known, block)), "index")
+    index = join_filter(indexed.filter("bits is not null"), FILTER_BITS)
+    hit = build_filter(hit_hashes(known, block, index).union(indexed.select("hashes")))
     context = spark.sparkContext
     index_, hit_ = context.broadcast(index), context.broadcast(hit)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for part in slices(batches, white_words):
+        for part in slices(batches, white_words, most=SLICE):
             at = _candidates(part, width, block, index_.value, hit_.value)
             row = part.rows()[at]
             ids = part.batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -238,8 +245,7 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
 
 
 def _text_key() -> Column:
-    whole = F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
-    return F.xxhash64(F.col("doc_id"), whole.bitwiseAND(0xFFFFFFFF))
+    return F.xxhash64(F.col("doc_id"), row_key().bitwiseAND(0xFFFFFFFF))
 
 
 _DONE = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("places", pa.binary())])
