@@ -286,12 +286,13 @@ def digest(docs: DataFrame, runs: DataFrame) -> DataFrame:
 
 def shorten(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with shortened texts; others are left as they are."""
+    names = docs.columns
 
     def change(batch: pa.RecordBatch, texts: list[bytes], runs_: list) -> pa.RecordBatch:
         old = batch.column("text").to_pylist()
         new = [b" ".join(kept_words(white_words(t), r)).decode("utf-8", "replace") if r else o
                for t, r, o in zip(texts, runs_, old)]
-        columns = {c: batch.column(c) for c in docs.columns}
+        columns = {c: batch.column(c) for c in names}
         columns["text"] = pa.array(new, columns["text"].type)
         if "n_chars" in columns:
             sizes = [len(n) if r else o for n, r, o in
@@ -299,4 +300,4 @@ def shorten(docs: DataFrame, runs: DataFrame) -> DataFrame:
             columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
         return pa.RecordBatch.from_pydict(columns)
 
-    return cut(docs, runs, _text_key(), change, docs.schema, docs.columns)
+    return cut(docs, runs, _text_key(), change, docs.schema, names)
