@@ -41,7 +41,8 @@ BITS = 24
 @dataclass(frozen=True)
 class Likeness:
     """Words of a shingle, least similarity in percent, and the sketch: the chance to miss a
-    pair at the limit is (1 - (percent/100)^rows)^bands, 4e-7 at 85 and 3e-8 at 80."""
+    pair at the limit is (1 - (percent/100)^rows)^bands: 4e-7 at 85 percent; at 80, 30 bands
+    are needed for 1e-7."""
 
     words: int = 3
     percent: int = 85
