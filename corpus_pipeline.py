@@ -13,7 +13,7 @@ from millrace.llm import classifier, decontamination, near_dups, packing, substr
 from millrace.llm.common import keep, read, row_key
 from millrace.llm.queries import vocabulary
 
-SIMILARITY = near_dups.Likeness(words=5, percent=80)
+SIMILARITY = near_dups.Likeness(words=5, percent=80, bands=30)
 REPEATED_WORDS = 50
 
 
