@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.records import line_bytes
@@ -138,8 +137,7 @@ def describe_chunk(policy: RollPolicy):
     into another chunk."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId()
-        current, first, ts, size = None, True, [], []
+        chunk, current, first, ts, size = None, None, True, [], []
 
         def closed():
             span = describe(np.concatenate(ts), np.concatenate(size), policy)
@@ -149,6 +147,8 @@ def describe_chunk(policy: RollPolicy):
 
         for batch in batches:
             all_ts, all_size = longs(batch, "ts"), longs(batch, "size")
+            if chunk is None and batch.num_rows:
+                chunk = batch.column("_chunk")[0].as_py()
             for key, begin, end in group_slices(batch):
                 if key != current:
                     if current is not None and first:
@@ -166,7 +166,7 @@ def describe_chunk(policy: RollPolicy):
 def chunk_starts(ordered: DataFrame, policy: RollPolicy, chunks: int, fold_rows: int) -> DataFrame:
     """Writer state at the start of each chunk that continues a group."""
     spans = (
-        ordered.select(*GROUP, "ts", "size")
+        ordered.select(*GROUP, "ts", "size", "_chunk")
         .mapInArrow(describe_chunk(policy), SPAN_SCHEMA)
         .checkpoint()
     )
