@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from millrace.operators.policy import RollPolicy
 from millrace.plans.queries import (
     AS_OF,
+    FILE_POLICY,
     FIRST_INSTANT_US,
     FRESH_S,
     MAX_FILE_BYTES,
@@ -37,11 +39,11 @@ r AS (
 )"""
 
 
-def parts(parallelism: int) -> str:
+def parts(parallelism: int, policy: RollPolicy = POLICY) -> str:
     """The rolling rule as a recursion over the row number within (bucket, subtask)."""
     due = (
-        f"s.us - g.open >= {POLICY.age_us} OR s.us - g.us >= {POLICY.idle_us} "
-        f"OR g.held > {POLICY.size}"
+        f"s.us - g.open >= {policy.age_us} OR s.us - g.us >= {policy.idle_us} "
+        f"OR g.held > {policy.size}"
     )
     return f"""
 WITH RECURSIVE {RECORDS},
@@ -125,6 +127,13 @@ FROM p ORDER BY bucket DESC, subtask DESC, part DESC LIMIT 5""",
     "layout_summary": f"""{parts(2)}
 SELECT count(*) AS parts, CAST(sum(records) AS BIGINT) AS records,
        CAST(sum(bytes) AS BIGINT) AS bytes FROM p""",
+    "rolled_files": f"""{parts(2, FILE_POLICY)}
+SELECT bucket, subtask, part, records, bytes FROM p""",
+    "last_rolled_files": f"""{parts(2, FILE_POLICY)}
+SELECT bucket || '/part-' || subtask || '-' || part AS name, records, bytes
+FROM p ORDER BY bucket DESC, subtask DESC, part DESC LIMIT 5""",
+    "rolled_layout": f"""{parts(2, FILE_POLICY)}
+SELECT count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM p""",
     "file_inventory": f"""
 WITH {RECORDS}
 SELECT bucket, CAST(sum(octet_length(encode(foams)) + 1) AS BIGINT) AS bytes

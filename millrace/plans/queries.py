@@ -18,11 +18,13 @@ from millrace.operators.policy import RollPolicy
 from millrace.session import scratch_path, ship_package
 from millrace.sources import generator, tables
 from millrace.streaming.jobs import StreamJob
-from millrace.streaming.sink import export_csv, text_writer
+from millrace.streaming.sink import export_csv, text_writer, write_parts
 
 # Events are minutes apart, so the rolling limits are wider in time and tighter in bytes
 # than the defaults of the policy.
 POLICY = RollPolicy(max_age_s=1200, max_idle_s=480, max_bytes=300)
+# Files are kept to a few per hour.
+FILE_POLICY = RollPolicy(max_age_s=1800, max_idle_s=None, max_bytes=4000)
 FIRST_INSTANT_US = 1_760_116_523_456_000  # 2025-10-10T17:15:23.456Z
 ONE_BUCKET = "2024-01-15--12"
 AS_OF = "2024-01-31 12:00:00"
@@ -227,6 +229,35 @@ def part_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rolled_table(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a table written by the exact rule, once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} rolled")
+    if key not in _landed:
+        root = scratch_path(spark, "rolled")
+        write_parts(event_records(spark, sf_dir), root, FILE_POLICY, 2)
+        _landed[key] = root
+    return _landed[key]
+
+
+def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and bytes of every file of that table, from its listing."""
+    files = tables.part_files(spark, rolled_table(spark, sf_dir))
+    return files.select("bucket", "subtask", "part", "records", F.col("length").alias("bytes"))
+
+
+def last_rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five files of the listing."""
+    files = rolled_files(spark, sf_dir)
+    newest = files.orderBy(*[F.col(c).desc() for c in ("bucket", "subtask", "part")]).limit(5)
+    return newest.select(parts.part_name().alias("name"), "records", "bytes")
+
+
+def rolled_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and bytes of the files of that table."""
+    root = rolled_table(spark, sf_dir)
+    return tables.inventory_summary(tables.file_inventory(spark, root, r"\.txt$"))
+
+
 def recent_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = parts.last_parts(_summary(spark, sf_dir), 5)
     return newest.select(parts.part_name().alias("name"), "records", "bytes")
@@ -305,7 +336,7 @@ QUERIES = {
         external_table_count, scan_one_bucket, limit_records, csv_scan_limit,
         csv_text_roundtrip, own_render, key_pattern_count,
         roll_by_inactivity, assign_parts, part_summary, recent_parts, layout_summary,
-        file_inventory, rows_per_file, recent_events, last_events, error_events, pattern_events,
+        rolled_files, last_rolled_files, rolled_layout, file_inventory, rows_per_file, recent_events, last_events, error_events, pattern_events,
         pattern_counts, table_size, health_scorecard,
     )
 }

@@ -120,6 +120,24 @@ def inventory_bucket() -> Column:
     return F.regexp_extract("path", BUCKET_PATTERN, 1)
 
 
+def part_files(spark: SparkSession, root: str) -> DataFrame:
+    """Listing of a table that was written part by part: ``bucket, subtask, part, path, length,
+    records``."""
+    place = r"/bucket=([^/]*)/subtask=(\d+)/part=(\d+)/"
+    files = file_inventory(spark, root, place + r"[^/]*\.txt$")
+    keys = [F.regexp_extract("path", place, i) for i in (1, 2, 3)]
+    lines = rows_per_file(scan_foreign(spark, root))
+    name = F.element_at(F.split("path", "/"), -1)
+    counted = lines.select(*[F.regexp_extract("path", place, i).alias(f"_{i}") for i in (1, 2, 3)],
+                           name.alias("_name"), "records")
+    same = [F.col(f"_{i + 1}") == key for i, key in enumerate(keys)]
+    met = files.withColumn("name", name).join(counted, [*same, F.col("name") == F.col("_name")])
+    return met.select(
+        keys[0].alias("bucket"), keys[1].cast("long").alias("subtask"),
+        keys[2].cast("long").alias("part"), "path", "length", "records",
+    )
+
+
 def last_files(files: DataFrame, n: int) -> DataFrame:
     """The last ``n`` files in path order."""
     return files.orderBy(F.col("path").desc()).limit(n)

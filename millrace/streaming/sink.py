@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.functions.records import MAX_LINE_BYTES
+from millrace.operators.parts import assign_parts
 from millrace.operators.policy import RollPolicy
 from millrace.sources.generator import LiveRecords
 from millrace.sources.tables import CSV_OPTIONS
@@ -76,6 +77,26 @@ def write_stream(records: DataFrame | LiveRecords, root: str, checkpoint: str, *
     return text_writer(records, root, checkpoint, **options).start()
 
 
+def write_parts(
+    records: DataFrame, root: str, policy: RollPolicy = RollPolicy(), parallelism: int = 1, **options
+) -> None:
+    """Write a finite table by the exact rolling rule, one file for each part:
+    ``root/bucket=<hour>/subtask=<n>/part=<n>/``.
+
+    A part's lines meet in one task, which streams them to its file in order of instant and
+    index; parts, not hours, are dealt out, so a hot hour is the work of many tasks.
+    """
+    place = ["bucket", "subtask", "part"]
+    assigned = assign_parts(records, policy, parallelism, keep=["foams"], **options)
+    (
+        assigned.repartition(*place)
+        .sortWithinPartitions(*place, "ts", "index")
+        .select("foams", *place)
+        .write.partitionBy(*place)
+        .text(root)
+    )
+
+
 def export_csv(rows: DataFrame, path: str, mode: str = "error") -> None:
     """Headerless CSV result. Every value is quoted, so spaces at the ends, separators, quotes
     and line ends survive."""
