@@ -17,15 +17,16 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import keep, number, session, slices
+from millrace.llm.common import keep, lower_case, number, session, slices
 
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 600_000
 LONGEST_CACHED = 64
 
 
@@ -44,6 +45,7 @@ class Tokens:
 
         self.encoder = Tokenizer.from_file(vocabulary)
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.again: set[bytes] = {b""}
 
     @classmethod
     def of(cls, vocabulary: str) -> "Tokens":
@@ -52,16 +54,21 @@ class Tokens:
         return cls._made[vocabulary]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        chunks = [x.replace(b"\n", b" ").split(b" ") for x in texts]
-        if len(self.known) > CACHED_CHUNKS:
-            self.known = {b"": b""}
-        new = list(set().union(*chunks).difference(self.known)) if chunks else []
+        # The vocabulary is in lower case; only the spelling of special tokens matters.
+        chunks = [(x if b"<|" in x else x.translate(lower_case)).replace(b"\n", b" ").split(b" ")
+                  for x in texts]
+        here = set().union(*chunks)
+        new = list(here.difference(self.known))
+        if len(self.known) + len(new) > CACHED_CHUNKS:
+            # Keep what was seen in several slices, unless even that has become too much.
+            if len(self.again) > CACHED_CHUNKS // 2:
+                self.again = set()
+            self.known = {x: y for x, y in self.known.items() if x in self.again or x in here}
         encoded = self.encoder.encode_batch_fast(
             [x.decode("utf-8", "replace") for x in new], add_special_tokens=False
         )
-        self.known.update(
-            (x, np.array(y.ids, np.uint32).tobytes()) for x, y in zip(new, encoded)
-        )
+        self.again.update(here.difference(new))
+        self.known.update((x, array("I", y.ids).tobytes()) for x, y in zip(new, encoded))
         found = [b"".join(map(self.known.__getitem__, x)) for x in chunks]
         for x in new:
             if len(x) > LONGEST_CACHED:
