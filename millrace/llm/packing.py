@@ -19,6 +19,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import keep, lower_case, number, session, slices
 
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 1_000_000
 LONGEST_CACHED = 64
+GROUP = 256  # words encoded together
 
 
 class Tokens:
@@ -45,7 +47,8 @@ class Tokens:
 
         self.encoder = Tokenizer.from_file(vocabulary)
         self.known: dict[bytes, bytes] = {b"": b""}
-        self.again: set[bytes] = {b""}
+        self.ends_word = np.zeros(self.encoder.get_vocab_size(), bool)
+        self.ends_word[[i for x, i in self.encoder.get_vocab().items() if x.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, vocabulary: str) -> "Tokens":
@@ -57,24 +60,43 @@ class Tokens:
         # The vocabulary is in lower case; only the spelling of special tokens matters.
         chunks = [(x if b"<|" in x else x.translate(lower_case)).replace(b"\n", b" ").split(b" ")
                   for x in texts]
-        here = set().union(*chunks)
-        new = list(here.difference(self.known))
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            # Keep what was seen in several slices, unless even that has become too much.
-            if len(self.again) > CACHED_CHUNKS // 2:
-                self.again = set()
-            self.known = {x: y for x, y in self.known.items() if x in self.again or x in here}
-        encoded = self.encoder.encode_batch_fast(
-            [x.decode("utf-8", "replace") for x in new], add_special_tokens=False
-        )
-        self.again.update(here.difference(new))
-        self.known.update((x, array("I", y.ids).tobytes()) for x, y in zip(new, encoded))
-        found = [b"".join(map(self.known.__getitem__, x)) for x in chunks]
+        known = self.known
+        new = list(set(filterfalse(known.__contains__, chain.from_iterable(chunks))))
+        if len(known) + len(new) > CACHED_CHUNKS:
+            here = set().union(*chunks)  # what is frequent is in these texts too
+            self.known = known = {x: y for x, y in known.items() if x in here}
+        known.update(zip(new, self.encode(new)))
+        found = [b"".join(map(known.__getitem__, x)) for x in chunks]
         for x in new:
             if len(x) > LONGEST_CACHED:
-                del self.known[x]
+                del known[x]
         return found
 
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk. Chunks of letters are single words to the vocabulary and are
+        encoded many at a time: each ends at the one token that ends a word."""
+        texts = b"\n".join(chunks).decode("utf-8", "replace").split("\n") if chunks else []
+        out = [b""] * len(chunks)
+        words = [i for i, x in enumerate(texts) if x.isalpha()]
+        alone = [i for i, x in enumerate(texts) if not x.isalpha()]
+        groups = [words[a : a + GROUP] for a in range(0, len(words), GROUP)]
+        joined = [" ".join(texts[i] for i in group) for group in groups]
+        for group, found in zip(groups, self._batch(joined)):
+            ids = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(group):
+                alone += group
+                continue
+            raw, at = ids.tobytes(), [0, *(ends * 4).tolist()]
+            for i, a, b in zip(group, at, at[1:]):
+                out[i] = raw[a:b]
+        for i, found in zip(alone, self._batch([texts[i] for i in alone])):
+            out[i] = array("I", found.ids).tobytes()
+        return out
+
+    def _batch(self, texts: list[str]) -> list:
+        return self.encoder.encode_batch_fast(texts, add_special_tokens=False)
+
 
 def pieces(docs: DataFrame, vocabulary: str, window: int = 2048, closing: int = 1) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens``: the pieces of every whole text."""
