@@ -25,6 +25,9 @@ from millrace.streaming.sink import export_csv, text_writer, write_parts
 POLICY = RollPolicy(max_age_s=1200, max_idle_s=480, max_bytes=300)
 # Files are kept to a few per hour.
 FILE_POLICY = RollPolicy(max_age_s=1800, max_idle_s=None, max_bytes=4000)
+# A replay has no clock to follow: files are as large as a scan likes them, and the commit log
+# grows with the bytes of the table.
+LAND_POLICY = RollPolicy(max_age_s=None, max_idle_s=None, max_bytes=128 << 20)
 FIRST_INSTANT_US = 1_760_116_523_456_000  # 2025-10-10T17:15:23.456Z
 ONE_BUCKET = "2024-01-15--12"
 AS_OF = "2024-01-31 12:00:00"
@@ -49,7 +52,7 @@ def land_events(spark: SparkSession, sf_dir: str) -> str:
     source = generator.replay_stream(ship_package(spark), path, max_bytes=BATCH_BYTES)
     records = as_records(source, F.col("event_id"), F.col("ts"))
     root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
-    writer = text_writer(records, root, state, available_now=True, spread=True)
+    writer = text_writer(records, root, state, LAND_POLICY, available_now=True, spread=True)
     writer.start().awaitTermination()
     return root
 

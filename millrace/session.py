@@ -69,6 +69,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's own folder under the shared one. The folder goes with
+    everything in it when the driver ends."""
+    application = spark.sparkContext.applicationId
+    root = checkpoint_root(spark)
+    if _scratch.get(application) is None or not _scratch[application].startswith(f"{root}/"):
+        _scratch[application] = f"{root}/scratch-{application}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch[application])
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{_scratch[application]}/{label}-{uuid.uuid4().hex}"
