@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import keep, lower_case, number, session, slices
 
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 600_000
 LONGEST_CACHED = 64
 GROUP = 256  # words encoded together
 
@@ -105,6 +105,10 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = 2048, closing: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.of(vocabulary)
+        yield from cut_up(batches, tokens)
+        tokens.known = {b"": b""}  # the worker lives on; its memory is for others now
+
+    def cut_up(batches: Iterator[pa.RecordBatch], tokens: Tokens) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, lambda _: []):
             rows: list[int] = []
             out: dict[str, list[int]] = {x: [] for x in names}
