@@ -56,8 +56,8 @@ def stream_records(
     The number of records per trigger is fixed, so after a pause the stream goes on at the
     same rate. ``catch_up=True`` emits what was missed instead. The records of a trigger are
     spread evenly over the last full span of the trigger's length before the clock of the
-    batch: none lies in the future, and while a job runs instants follow the index. A rate that gives no whole number of records is
-    refused.
+    batch: none lies in the future, and while a job runs instants follow the index. A rate
+    that gives no whole number of records is refused.
     """
     rows = rate if catch_up else rate * trigger_s
     if round(rows) < 1 or abs(rows - round(rows)) > 1e-9 * rows:

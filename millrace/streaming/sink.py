@@ -53,9 +53,10 @@ def text_writer(
         records = records.frame
     trigger_s = min([60 if trigger_s is None else trigger_s, *limits])
     if policy.max_bytes is not None:
-        fits = F.octet_length("foams") < max_line_bytes
+        line = F.col("foams")
         long_line = F.raise_error(F.lit(f"a line is longer than {max_line_bytes} bytes"))
-        records = records.withColumn("foams", F.when(fits | F.col("foams").isNull(), F.col("foams")).otherwise(long_line))
+        checked = F.when(F.octet_length(line) >= max_line_bytes, long_line).otherwise(line)
+        records = records.withColumn("foams", checked)
     writer = (
         by_bucket(records, spread)
         .writeStream.format("text")
@@ -72,7 +73,9 @@ def text_writer(
     return writer.trigger(processingTime=f"{round(trigger_s * 1000)} milliseconds")
 
 
-def write_stream(records: DataFrame | LiveRecords, root: str, checkpoint: str, **options) -> StreamingQuery:
+def write_stream(
+    records: DataFrame | LiveRecords, root: str, checkpoint: str, **options
+) -> StreamingQuery:
     """Start the stream that :func:`text_writer` describes."""
     return text_writer(records, root, checkpoint, **options).start()
 
