@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.session import scratch_path, ship_package
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 WHITE = b" \t\n\x0b\x0c\r"
 lower_case = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -173,6 +173,13 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"), F.col("doc_id").isNull())
 
 
+def bucket_count(docs: DataFrame, bucket_bytes: int) -> int:
+    """How many buckets keep about ``bucket_bytes`` of text behind each, at any size."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2 * least, total // bucket_bytes)
+
+
 def with_key(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id, row_key`` and the named columns. Rows that agree in id and text share a key
     and hence every result; null ids and repeated ids with other texts stay apart."""

@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import (
-    EMPTY, FILTER_BITS, ODD_1, PART_BITS, U, binary_list, build_filter, filter_parts, hash_chunks,
-    in_filter, join_filter, keep, mix, row_key, session, set_bits, slices, table, white_words,
+    EMPTY, FILTER_BITS, ODD_1, PART_BITS, U, binary_list, bucket_count, build_filter,
+    filter_parts, hash_chunks, in_filter, join_filter, keep, mix, row_key, session, set_bits, slices, table, white_words,
     window_hashes, with_key,
 )
 from millrace.llm.cutting import cut
 
+HIT_BITS = FILTER_BITS - 1  # repeated blocks are the fewer ones
 FLUSH = 250_000  # windows a task holds before it settles and sends them
 SLICE = 1 << 20  # text handled at once
 BUCKET_BYTES = 8 << 20  # text behind a bucket
@@ -56,7 +57,7 @@ def block_hashes(docs: DataFrame, block: int) -> DataFrame:
 def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
     """``hashes``: indexed blocks that a rolling window hit outside of the block grid, or that
     the grid of some document has again within a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(index.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, white_words, most=SLICE):
@@ -64,7 +65,7 @@ def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
             at = part.starts(block)
             off = at[(at - part.bounds[part.rows()[at]]) % block != 0]
             values = rolled[off]
-            yield _one(values[in_filter(shared.value, values)])
+            yield _one(values[in_filter(np.frombuffer(shared.value, np.uint8), values)])
 
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "hashes binary")
 
@@ -115,7 +116,7 @@ def _candidates(part, width: int, block: int, index: np.ndarray, hit: np.ndarray
     anchor = np.zeros(len(part.words) + 1, np.int64)
     off, on = at[~on_grid], at[on_grid]
     anchor[off[in_filter(index, rolled[off])]] = 1
-    anchor[on[in_filter(hit, rolled[on])]] = 1
+    anchor[on[in_filter(hit, rolled[on], HIT_BITS)]] = 1
     upto = np.concatenate([[0], np.cumsum(anchor)])
     start = part.starts(width)
     return start[upto[start + width - block + 1] > upto[start]]
@@ -126,9 +127,13 @@ def _settle(held: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     to the bucket of their document), the others are asked about (kind 0)."""
     hashes, docs, places = (np.concatenate(x) for x in zip(*held))
     larger = _larger(hashes, docs)
-    yield from _scatter(1, _bucket_of(docs[larger], buckets), hashes[larger], docs[larger], places[larger], buckets)
-    ask = ~larger
-    yield from _scatter(0, (mix(hashes[ask]) % U(buckets)).astype(np.int64), hashes[ask], docs[ask], places[ask], buckets)
+    for kind, which in ((1, larger), (0, ~larger)):
+        some = hashes[which], docs[which], places[which]
+        if kind == 1:
+            bucket = _bucket_of(some[1], buckets)
+        else:
+            bucket = (mix(some[0]) % U(buckets)).astype(np.int64)
+        yield from _scatter(kind, bucket, *some, buckets)
 
 
 def _bucket_of(docs: np.ndarray, buckets: int) -> np.ndarray:
@@ -171,19 +176,22 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
     32-bit numbers. In between, ``tag`` tells rows with one id apart."""
     spark = session(docs.sparkSession)
     block = (width + 1) // 2
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES // 2)
+    buckets = bucket_count(docs, BUCKET_BYTES)
     known = docs.filter(F.col("doc_id").isNotNull())
     indexed = keep(index_blocks(block_hashes(known, block)), "index")
     index = join_filter(indexed.filter("bits is not null"), FILTER_BITS)
-    hit = build_filter(hit_hashes(known, block, index).union(indexed.select("hashes")))
+    found = hit_hashes(known, block, index).union(indexed.select("hashes"))
+    hit = build_filter(found, HIT_BITS)
     context = spark.sparkContext
-    index_, hit_ = context.broadcast(index), context.broadcast(hit)
+    # As bytes: an array would be held twice while a worker unpacks it.
+    index_, hit_ = context.broadcast(index.tobytes()), context.broadcast(hit.tobytes())
+    del index, hit
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
+        blocks, again = (np.frombuffer(x.value, np.uint8) for x in (index_, hit_))
         for part in slices(batches, white_words, most=SLICE):
-            at = _candidates(part, width, block, index_.value, hit_.value)
+            at = _candidates(part, width, block, blocks, again)
             row = part.rows()[at]
             ids = part.batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             tags = part.batch.column("row_key").to_numpy(zero_copy_only=False).view(np.uint64)

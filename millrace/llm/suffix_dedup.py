@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, ODD_2, U, binary_list, build_filter, in_filter, keep, mix, row_key, session, slices, table,
-    with_key,
+    ODD_1, ODD_2, U, binary_list, bucket_count, build_filter, in_filter, keep, mix, row_key,
+    session, slices, table, with_key,
 )
 from millrace.llm.cutting import cut
 
@@ -369,19 +369,19 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
     """``key, runs``: removed byte ranges of every text that loses some, as pairs of 64-bit
     numbers; ``key`` is the row key of the text."""
     spark = session(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES // 2)
+    buckets = bucket_count(docs, BUCKET_BYTES)
     counts = keep(anchor_counts(docs, width, buckets), "anchors")
     context = spark.sparkContext
-    again = context.broadcast(build_filter(counts.select("hashes")))
+    # As bytes: an array would be held twice while a worker unpacks it.
+    again = context.broadcast(build_filter(counts.select("hashes")).tobytes())
     hot = context.broadcast(build_filter(counts.select(F.col("hot").alias("hashes")), HOT_BITS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(width, buckets)
+        held, known = _Held(width, buckets), np.frombuffer(again.value, np.uint8)
         for part in slices(batches, lambda _: [], most=PIECE):
             found = Pieces(part.texts, width)
             keys = part.batch.column("row_key").to_numpy(zero_copy_only=False)[found.rows]
-            use = np.flatnonzero(in_filter(again.value, found.hash))
+            use = np.flatnonzero(in_filter(known, found.hash))
             is_hot = in_filter(hot.value, found.hash[use], HOT_BITS)
             cold, warm = use[~is_hot], use[is_hot]
             low, high, piece = found.low[cold], found.high[cold], found.piece[cold]
