@@ -44,6 +44,8 @@ SHALLOW = 32
 HOT = 2000
 HOT_BITS = 24
 PIECE = 1 << 19  # texts are hashed in pieces of this size that overlap by a window
+LOT = 1 << 21  # pieces of a long text are looked at in lots of this size
+PLACE_BITS = 24  # of a place in the buffer of a lot
 FLUSH_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 
@@ -64,19 +66,28 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[:n], _inverse[:n]
 
 
+def _piece_places(texts: list[bytes], width: int) -> Iterator[tuple[int, int]]:
+    for i, text in enumerate(texts):
+        for first in range(0, max(len(text) - width + 1, 0), PIECE):
+            yield i, first
+
+
 class Pieces:
-    """Texts of a slice in one buffer, with the windows and anchors of each."""
+    """Pieces of texts in one buffer, with the windows and anchors of each: those that begin
+    at ``places``, pairs of a text and a place in it, or all."""
 
-    def __init__(self, texts: list[bytes], width: int) -> None:
+    def __init__(
+        self, texts: list[bytes], width: int, places: list[tuple[int, int]] | None = None
+    ) -> None:
         self.width = width
-        rows, firsts, parts = [], [], []
-        for i, text in enumerate(texts):
-            for first in range(0, max(len(text) - width + 1, 0), PIECE):
-                rows.append(i)
-                firsts.append(first)
-                parts.append(text[first : first + PIECE + width - 1])
-        self.rows, self.firsts = np.array(rows, np.int64), np.array(firsts, np.int64)
+        if places is None:
+            places = list(_piece_places(texts, width))
+        parts = [texts[i][first : first + PIECE + width - 1] for i, first in places]
+        self.rows = np.array([i for i, _ in places], np.int64)
+        self.firsts = np.array([first for _, first in places], np.int64)
         self.raw = b"".join(parts)
+        if len(self.raw) >> PLACE_BITS:
+            raise ValueError(f"{len(self.raw)} bytes in one buffer, places have {PLACE_BITS} bits")
         sizes = np.array([len(x) for x in parts], np.int64)
         self.begins = np.concatenate([[0], np.cumsum(sizes)])
         self.sums = np.zeros(1, np.uint64)
@@ -86,6 +97,20 @@ class Pieces:
             self.low = self.high = self.anchor = self.piece = np.empty(0, np.int64)
             self.hash = np.empty(0, np.uint64)
 
+    @classmethod
+    def lots(cls, texts: list[bytes], width: int) -> Iterator[Pieces]:
+        """All pieces, about ``LOT`` bytes at a time however long a text is."""
+        lot, size = [], 0
+        for i, first in _piece_places(texts, width):
+            more = min(len(texts[i]) - first, PIECE + width - 1)
+            if lot and size + more > LOT:
+                yield cls(texts, width, lot)
+                lot, size = [], 0
+            lot.append((i, first))
+            size += more
+        if lot:
+            yield cls(texts, width, lot)
+
     def rolled(self, size: int, seed: np.uint64) -> np.ndarray:
         """Hash of the ``size`` bytes at each place."""
         n = len(self.raw)
@@ -101,7 +126,7 @@ class Pieces:
         """Anchors: for each, the first and the last window it stands for."""
         grams = self.rolled(GRAM, ODD_1)
         span, n = self.width - GRAM + 1, len(grams)
-        place_bits = U(24)  # a buffer is shorter than 2^24 bytes
+        place_bits = U(PLACE_BITS)
         keys = (grams >> place_bits << place_bits) | np.arange(n, dtype=np.uint64)
         # Least key of each run of ``span``: least to the end of its block and from the start
         # of the next.
@@ -112,7 +137,7 @@ class Pieces:
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         count = n - span + 1
         least = np.minimum(behind[:count], ahead[span - 1 : span - 1 + count])
-        anchor = (least & U((1 << 24) - 1)).astype(np.int64)
+        anchor = (least & U((1 << PLACE_BITS) - 1)).astype(np.int64)
         piece = np.repeat(np.arange(len(sizes)), sizes)[:count]
         valid = np.arange(count) + self.width <= self.begins[1:][piece]
         new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1])
@@ -193,11 +218,12 @@ def anchor_counts(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in slices(batches, lambda _: [], most=PIECE):
-            held.append(Pieces(part.texts, width).hash)
-            size += len(held[-1])
-            if size > 2_000_000:
-                yield from send(held)
-                held, size = [], 0
+            for found in Pieces.lots(part.texts, width):
+                held.append(found.hash)
+                size += len(held[-1])
+                if size > 2_000_000:
+                    yield from send(held)
+                    held, size = [], 0
         if size:
             yield from send(held)
 
@@ -379,28 +405,29 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = _Held(width, buckets), np.frombuffer(again.value, np.uint8)
         for part in slices(batches, lambda _: [], most=PIECE):
-            found = Pieces(part.texts, width)
-            keys = part.batch.column("row_key").to_numpy(zero_copy_only=False)[found.rows]
-            use = np.flatnonzero(in_filter(known, found.hash))
-            is_hot = in_filter(hot.value, found.hash[use], HOT_BITS)
-            cold, warm = use[~is_hot], use[is_hot]
-            low, high, piece = found.low[cold], found.high[cold], found.piece[cold]
-            for a, b, c, d, e, f in zip(
-                found.hash[cold].tolist(), (found.anchor[cold] - low).tolist(), low.tolist(),
-                (high + width).tolist(), keys[piece].tolist(), found.place(low, piece).tolist(),
-            ):
-                held.stretch(a, b, found.raw[c:d], e, f)
-            if len(warm):
-                n = found.high[warm] - found.low[warm] + 1
-                at = np.repeat(found.low[warm] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                piece = np.repeat(found.piece[warm], n)
-                held.windows.append(
-                    (found.rolled(width, ODD_2)[at], keys[piece], found.place(at, piece))
-                )
-                held.size += 24 * len(at)
-            if held.size >= FLUSH_BYTES:
-                yield from held.send()
-                held = _Held(width, buckets)
+            row_keys = part.batch.column("row_key").to_numpy(zero_copy_only=False)
+            for found in Pieces.lots(part.texts, width):
+                keys = row_keys[found.rows]
+                use = np.flatnonzero(in_filter(known, found.hash))
+                is_hot = in_filter(hot.value, found.hash[use], HOT_BITS)
+                cold, warm = use[~is_hot], use[is_hot]
+                low, high, piece = found.low[cold], found.high[cold], found.piece[cold]
+                for a, b, c, d, e, f in zip(
+                    found.hash[cold].tolist(), (found.anchor[cold] - low).tolist(), low.tolist(),
+                    (high + width).tolist(), keys[piece].tolist(), found.place(low, piece).tolist(),
+                ):
+                    held.stretch(a, b, found.raw[c:d], e, f)
+                if len(warm):
+                    n = found.high[warm] - found.low[warm] + 1
+                    at = np.repeat(found.low[warm] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    piece = np.repeat(found.piece[warm], n)
+                    held.windows.append(
+                        (found.rolled(width, ODD_2)[at], keys[piece], found.place(at, piece))
+                    )
+                    held.size += 24 * len(at)
+                if held.size >= FLUSH_BYTES:
+                    yield from held.send()
+                    held = _Held(width, buckets)
         yield from held.send()
 
     def compare(

@@ -1,9 +1,12 @@
 """Every operator against its plain version, on the small tables and on awkward documents."""
 
+import random
 import zlib
 from collections import Counter
 
 import brute
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import edge_rows, frame
 from millrace.llm import (
@@ -239,3 +242,16 @@ def test_classifier_on_awkward_tables(spark, edge, empty):
     assert kept.count() == sum(r["predicted"] for r in rows)
     assert {r["score"] for r in classifier.classify(edge, labels.limit(0), fast).collect()} == {0.5}
     assert classifier.classify(empty, labels, fast).collect() == []
+
+
+def test_repeats_far_into_a_long_text(spark, tmp_path):
+    rng = random.Random(11)
+    long_, passage, other = (rng.randbytes(n).hex() for n in (9 << 20, 300, 400))
+    cut = (1 << 24) + 300_000
+    rows = [(1, long_[:cut] + passage + long_[cut:]), (2, other + passage)]
+    path = str(tmp_path / "long.parquet")
+    pq.write_table(pa.table({"doc_id": [1, 2], "text": [t for _, t in rows]}), path)
+    got = {r["doc_id"]: r for r in op4(spark.read.parquet(path)).collect()}
+    kept = {1: long_, 2: other}
+    for doc_id, text in rows:
+        assert tuple(got[doc_id])[1:] == (len(text), 600, 1, brute.sha(kept[doc_id]))
