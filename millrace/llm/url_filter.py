@@ -8,7 +8,9 @@ against the links, so who links to bad hosts is suspect. A page without a rule g
 host's verdict: block if the host's share of distrust reaches ``threshold`` of the sum.
 
 Edges are pairs of hosts, counted on the map side, so a hot host or link is a row. Ranks are
-whole numbers of tiny units, so no sum depends on the order of rows.
+whole numbers of tiny units, so no sum depends on the order of rows. They grow from what the
+seeds hold at home until no host is new and none changes by more than ``settled``; a rank is
+followed down to 1 / (UNITS * FINE) of the whole, and given in units of 1 / UNITS.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and, having no
 neighbours, is allowed; null pages link to nothing; repeated rows are judged alike and weigh
@@ -33,12 +35,14 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 UNITS = 10**15
+FINE = 10**16  # parts of a unit; a rank in them has 31 digits
 
 
 @dataclass(frozen=True)
 class Spread:
     damping_percent: int = 85
-    rounds: int = 8
+    rounds: int = 8  # that the SQL spells out; ``propagate`` goes on until ranks are settled
+    settled: int = 1_000_000  # a host's rank may still change by this part of it
     threshold_percent: int = 75
     salts: int = 16
 
@@ -83,33 +87,50 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def propagate(edges: DataFrame, seeds: DataFrame, how: Spread) -> DataFrame:
     """``host, rank``: rank that starts at the seeds (``host, seed``, together UNITS) and flows
-    along the edges by their counts; a host without edges keeps none of what it would send."""
+    along the edges by their counts; a host without edges keeps none of what it would send.
+
+    Ranks, in parts of a unit, never fall from round to round and are bounded, so the loop ends."""
     out = edges.groupBy("src").agg(F.sum("n").alias("out"))
     spread = edges.join(out, "src").select("src", "dst", "n", "out")
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    for _ in range(how.rounds):
+    home = keep(seeds.select("host", _share(
+        F.col("seed").cast("decimal(38,0)") * F.lit(FINE).cast("decimal(17,0)"),
+        F.lit(100 - how.damping_percent), F.lit(100),
+    ).alias("rank")), "ranks")
+    rank = home
+    while True:
         sent = rank.join(spread, rank["host"] == spread["src"]).select(
             F.col("dst").alias("host"),
             _share(F.col("rank"), F.lit(how.damping_percent) * F.col("n"), F.lit(100) * F.col("out")).alias("rank"),
         )
-        home = seeds.select(
-            "host", _share(F.col("seed"), F.lit(100 - how.damping_percent), F.lit(100)).alias("rank")
+        new, old = F.sum("rank").cast(RANK), F.coalesce(F.sum("old"), F.lit(0)).cast(RANK)
+        none = F.lit(None).cast(RANK).alias("old")
+        both = sent.select("host", "rank", none).union(home.select("host", "rank", none)).union(
+            rank.select("host", F.lit(0).cast(RANK), F.col("rank").alias("old"))
         )
-        rank = keep(sent.union(home).groupBy("host").agg(F.sum("rank").alias("rank")), "ranks")
-    return rank
+        rank = keep(both.groupBy("host").agg(new.alias("rank"), old.alias("old")).filter("rank > 0"), "ranks")
+        moving = rank.filter((F.col("rank") - F.col("old")) > F.col("rank") / F.lit(how.settled))
+        rank = rank.drop("old")
+        if moving.isEmpty():
+            return rank
+
+
+RANK = "decimal(38,0)"
 
 
 def _share(whole: Column, part: Column, of: Column) -> Column:
-    """``whole * part / of``, rounded down to a whole number."""
-    wide = whole.cast("decimal(20,0)") * part.cast("decimal(18,0)")
-    return F.floor(wide / of.cast("decimal(18,0)")).cast("long")
+    """``whole * part / of``, rounded down to a whole number, for ``part`` up to ``of``: no
+    product is larger than ``whole`` or ``of`` squared."""
+    part, of = part.cast("decimal(18,0)"), of.cast("decimal(18,0)")
+    rest = whole % of
+    small = rest.cast("decimal(18,0)") * part
+    return (((whole - rest) / of).cast(RANK) * part + ((small - small % of) / of).cast(RANK)).cast(RANK)
 
 
 def seeds_of(pages: DataFrame, verdict: str) -> DataFrame:
     """``host, seed``: hosts by their pages with a rule of that verdict; together UNITS."""
     counted = pages.filter(F.col("rule.verdict") == verdict).groupBy("host").agg(F.count("*").alias("n"))
     total = counted.select(F.coalesce(F.sum("n"), F.lit(1))).scalar()
-    return counted.select("host", _share(F.lit(UNITS), F.col("n"), total).alias("seed"))
+    return counted.select("host", _share(F.lit(UNITS).cast(RANK), F.col("n"), total).alias("seed"))
 
 
 def judge(pages: DataFrame, rules=RULES, how: Spread = Spread()) -> DataFrame:
@@ -128,11 +149,15 @@ def judge(pages: DataFrame, rules=RULES, how: Spread = Spread()) -> DataFrame:
         "salt", F.explode(F.sequence(F.lit(0), F.lit(how.salts - 1)))
     )
     salt = F.pmod(F.xxhash64("page_id", "path"), F.lit(how.salts)).cast("int")
+
+    def units(rank: Column) -> Column:
+        return ((rank - rank % F.lit(FINE)) / F.lit(FINE)).cast("long")
+
     met = narrow.withColumn("salt", salt).join(ranks, ["host", "salt"], "left")
-    t, d = F.coalesce("trust", F.lit(0)), F.coalesce("distrust", F.lit(0))
-    suspect = (d > 0) & (d * 100.0 >= how.threshold_percent * (t + d))
+    t, d = (F.coalesce(x, F.lit(0).cast(RANK)) for x in ("trust", "distrust"))
+    suspect = (d > 0) & ((100 - how.threshold_percent) * d >= how.threshold_percent * t)
     return met.select(
         "page_id", "host", "path", F.col("rule.rule").alias("rule"),
         F.coalesce("rule.verdict", F.when(suspect, "block").otherwise("allow")).alias("verdict"),
-        t.alias("trust"), d.alias("distrust"),
+        units(t).alias("trust"), units(d).alias("distrust"),
     )

@@ -168,6 +168,27 @@ def test_trust_and_distrust_spread_over_links(spark):
     assert got["friend.net"]["verdict"] == got["lone.net"]["verdict"] == "allow"
 
 
+def test_ranks_flow_on_until_they_settle(spark):
+    link = '<a href="http://{}/x">'.format
+    # Fifteen hosts in a row to a blocked one, the last but one with a way back of weight 1/2.
+    rows = [(n, f"http://h{n}.net/a", link(f"h{n + 1}.net")) for n in range(15)]
+    rows[14] = (14, "http://h14.net/a", link("bad.com") + link("h13.net"))
+    rows.append((99, "http://bad.com/de/", ""))
+    rows.append((98, "http://lone.net/a", ""))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judge(df).collect()}
+    assert {got[n]["verdict"] for n in range(15)} == {"block"} != {got[98]["verdict"]}
+    # Distrust against the links, in closed form: h14 gets all of bad.com's and half of h13's.
+    n13 = {"h12.net": 1, "h14.net": 1}  # who links to h13
+    h14 = 0.15 * 0.85 / (1 - 0.85 * 0.85 / sum(n13.values()))
+    want = {14: h14, 13: 0.85 * h14, 12: 0.85 * 0.85 * h14 / 2}
+    for n in range(11, -1, -1):
+        want[n] = 0.85 * want[n + 1]
+    for n, rank in want.items():
+        assert got[n]["distrust"] == pytest.approx(rank * url_filter.UNITS, rel=1e-5)
+    assert got[98]["distrust"] == 0
+
+
 def check_packing(rows, docs):
     from tokenizers import Tokenizer
 
