@@ -94,6 +94,15 @@ def sketches(grams: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
     return flat.reshape(n, size)
 
 
+def set_sums(grams: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums of each set."""
+    sums = []
+    for seed in (ODD_1, ODD_2):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ seed))])
+        sums.append(total[bounds[1:]] - total[bounds[:-1]])
+    return sums
+
+
 def sketch_rows(docs: DataFrame, like: Likeness) -> DataFrame:
     """``doc_id, row_key, n_shingles, set_a, set_b, bands``; two 64-bit sums tell sets apart."""
     size = like.bands * like.rows
@@ -106,10 +115,7 @@ def sketch_rows(docs: DataFrame, like: Likeness) -> DataFrame:
             band = np.tile(np.arange(like.bands, dtype=np.uint64), (len(coordinates), 1))
             for k in range(like.rows):
                 band = mix(band * ODD_1 + coordinates[:, :, k])
-            sums = []
-            for seed in (ODD_1, ODD_2):
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ seed))])
-                sums.append(total[bounds[1:]] - total[bounds[:-1]])
+            sums = set_sums(grams, bounds)
             ends = np.arange(0, band.size + 1, like.bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.batch.column("doc_id"), part.batch.column("row_key"),
@@ -125,8 +131,9 @@ def sketch_rows(docs: DataFrame, like: Likeness) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """``node, grams``: full shingle sets of the documents that take part in comparisons.
-    A filter of fixed size keeps other documents from being sent anywhere."""
+    """``node, grams``: full shingle sets of the documents that take part in comparisons, each
+    once however often its row is repeated. A filter of fixed size keeps other documents from
+    being sent anywhere."""
     filter_ = build_filter(pack_hashes(nodes.select(F.xxhash64("node").alias("h"))), BITS)
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
@@ -137,13 +144,15 @@ def sets_of(docs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
             for part in slices([batch.filter(pa.array(hit))], lower_white_words):
                 grams, bounds = shingle_sets(part, like.words)
                 yield pa.RecordBatch.from_arrays(
-                    [part.batch.column("node"), binary_list(grams, bounds)], names=["node", "grams"]
-                )
+                    [part.batch.column("node"), *map(longs, set_sums(grams, bounds)),
+                     binary_list(grams, bounds)], names=["node", "set_a", "set_b", "grams"],
+                )
 
     rows = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("node"), F.xxhash64("doc_id").alias("h"), F.col("text").cast("binary")
     )
-    return rows.mapInArrow(run, "node long, grams binary")
+    each = rows.mapInArrow(run, "node long, set_a long, set_b long, grams binary")
+    return each.dropDuplicates(["node", "set_a", "set_b"]).select("node", "grams")
 
 
 def compare(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:

@@ -104,6 +104,16 @@ def test_near_duplicates_of_null_ids(spark):
     })
 
 
+def test_near_duplicates_send_a_repeated_row_once(spark):
+    base = [f"t{i}" for i in range(60)]
+    texts = {5: " ".join(base), 9: " ".join([*base, "end"])}
+    docs = frame(spark, [(5, texts[5])] * 40 + [(9, texts[9])] * 30)
+    nodes = spark.createDataFrame([(5,), (9,)], "node long")
+    sets = near_dups.sets_of(docs, nodes, near_dups.Likeness()).collect()
+    assert sorted((r["node"], len(r["grams"])) for r in sets) == [(5, 8 * 58), (9, 8 * 59)]
+    assert collected(op8(docs), 4) == Counter({(5, 58, 5, True): 40, (9, 59, 5, False): 30})
+
+
 def test_substring_dedup_of_null_and_repeated_ids(spark):
     text = " ".join(f"t{i}" for i in range(20))
     other = " ".join(f"u{i}" for i in range(20))
