@@ -8,6 +8,8 @@ from millrace.llm.url_filter import RULES, UNITS, Spread
 
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WHITE = r"[^\x20\x09-\x0D]+"
+PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
+PIECE_WORDS = r"[^\x20\x09]+"
 
 
 def lower(text: str) -> str:
@@ -314,6 +316,52 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM docs LEFT JOIN found USING (r)"""
 
 
+COLLOCATIONS = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+         {lower("text")} AS text
+  FROM documents
+), p AS (
+  SELECT id, lang, unnest(x) AS piece, generate_subscripts(x, 1) AS part
+  FROM (SELECT id, lang, regexp_split_to_array(text, '{PIECE_ENDS}') AS x FROM d)
+), w AS (
+  SELECT id, lang, part, unnest(x) AS w1, generate_subscripts(x, 1) AS i
+  FROM (SELECT id, lang, part, regexp_extract_all(piece, '{PIECE_WORDS}') AS x FROM p)
+), s AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w
+  WINDOW o AS (PARTITION BY id, part ORDER BY i)
+), one AS (SELECT lang, w1, count(*) AS f FROM s GROUP BY ALL),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM s WHERE w2 IS NOT NULL GROUP BY ALL),
+three AS (SELECT lang, w1, w2, w3, count(*) AS a FROM s WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, w1, w2, max(a) AS b FROM (
+    SELECT lang, w1, w2, a FROM three UNION ALL SELECT lang, w2, w3, a FROM three) GROUP BY ALL
+), c AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, l.f AS l, r.f AS r, 1 AS k
+  FROM two t JOIN one l ON l.lang = t.lang AND l.w1 = t.w1
+  JOIN one r ON r.lang = t.lang AND r.w1 = t.w2
+  LEFT JOIN longer g ON g.lang = t.lang AND g.w1 = t.w1 AND g.w2 = t.w2
+  WHERE t.f >= 10 AND NOT coalesce(100 * g.b >= 50 * t.f, false)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, l.f, r.f, 1
+  FROM three t JOIN one l ON l.lang = t.lang AND l.w1 = t.w1
+  JOIN two r ON r.lang = t.lang AND r.w1 = t.w2 AND r.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, l.f, r.f, 2
+  FROM three t JOIN two l ON l.lang = t.lang AND l.w1 = t.w1 AND l.w2 = t.w2
+  JOIN one r ON r.lang = t.lang AND r.w1 = t.w3
+), x AS (
+  SELECT *, (1000000 * CAST(a AS HUGEINT) * a) // (CAST(l AS HUGEINT) * r) AS score FROM c
+), y AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), z AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM y
+)
+SELECT z.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM z JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang) USING (lang)
+WHERE rank <= 2000"""
+
+
 ORACLES = {
     "op1_license_scan": license_scan(),
     "op2_quality_rules": quality_rules(),
@@ -321,4 +369,5 @@ ORACLES = {
     "op5_decontamination": DECONTAMINATION,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_substring_dedup": SUBSTRINGS,
+    "op11_collocations": COLLOCATIONS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    classifier, decontamination, license_scan, near_dups, packing, quality_rules, sharding,
+    classifier, collocations, decontamination, license_scan, near_dups, packing, quality_rules, sharding,
     substring_dedup, suffix_dedup, url_filter,
 )
 from millrace.llm.common import keep, read
@@ -77,11 +77,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(docs, keep(substring_dedup.removals(docs), "runs"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(read(spark, sf_dir, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_rules, op3_url_filter, op4_suffix_dedup, op5_decontamination,
     op6_packing, op7_sharding,
     op8_near_duplicates, op9_quality_classifier,
-    op10_substring_dedup,
+    op10_substring_dedup, op11_collocations,
 )}
