@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import (
-    FILTER_BITS, bucket_count, build_filter, hash_words, in_filter, keep, mix, pack_hashes,
+    FILTER_BITS, PART_BITS, bucket_count, build_filter, hash_words, in_filter, keep, mix, pack_hashes,
     row_key, session, slices, window_hashes,
 )
 
@@ -37,9 +38,9 @@ _PIECES = bytes(
 )
 _END = b"."
 LOT_BYTES = 4 << 20  # of one text at a time
-HELD = 3_000_000  # keys a task gathers before it adds them up
-SENT = 6_000_000  # distinct keys a task holds before it sends them
-HELD_WORDS = 400_000
+HELD = 400_000  # keys a task gathers before it adds them up
+SENT = 1_600_000  # keys a task holds before it sends them
+HELD_WORDS = 150_000
 BUCKET_BYTES = 16 << 20
 
 
@@ -49,7 +50,7 @@ class Mining:
     shards: int = 4
     swallow_percent: int = 50  # of a phrase inside a longer one, for it to be dropped
     most: int = 2000  # phrases listed for each language
-    bits: int = FILTER_BITS
+    bits: int = FILTER_BITS  # of a filter, at most
     salts: int = 64
 
 
@@ -190,42 +191,113 @@ def inputs(docs: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``lang, word, id, f`` of all words; a row without a word has the number of all."""
+def frequent_words(texts: DataFrame, buckets: int, support: int) -> DataFrame:
+    """``id, f`` of the words found ``support`` times in a language."""
 
-    def rows(found: dict[int, list], totals: dict[str, int]) -> pa.RecordBatch:
-        langs, words, counts = zip(*found.values()) if found else ((), (), ())
-        none = [None] * len(totals)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for lot in lots(batches):
+            tally.add(lot.ids[lot.starts(1)])
+            if tally.new > SENT:
+                yield by_bucket(tally.merge(), buckets, 0)
+                tally = Tally()
+        yield by_bucket(tally.merge(), buckets, 0)
+
+    def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts = gathered(batches, 0)
+        chosen = counts >= support
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x[chosen].view(np.int64)) for x in (ids, counts)], names=["id", "f"]
+        )
+
+    sums = texts.mapInArrow(scan, "bucket long, c0 binary, c1 binary")
+    return dealt(sums, buckets).groupBy("bucket").applyInArrow(add_up, "id long, f long")
+
+
+@dataclass
+class Sieve:
+    """A bit filter that tasks can see. Its size follows what it holds, up to a bound."""
+
+    shared: Broadcast
+    bits: int
+
+    @classmethod
+    def over(cls, hashed: DataFrame, count: int, most: int) -> "Sieve":
+        bits = min(most, max(PART_BITS, (16 * count).bit_length()))
+        return cls(hashed.sparkSession.sparkContext.broadcast(build_filter(hashed, bits)), bits)
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        return in_filter(self.shared.value, keys, self.bits)
+
+
+def names(texts: DataFrame, frequent: Sieve, buckets: int) -> DataFrame:
+    """``lang, word, id, n``: the words that pass the sieve, and for each language a row without
+    a word that has the number of all its words."""
+    kind = pa.schema([
+        ("bucket", pa.int64()), ("ids", pa.binary()), ("langs", pa.list_(pa.string())),
+        ("words", pa.list_(pa.binary())),
+    ])
+
+    def packed(found: dict[int, tuple], totals: dict[str, int]) -> pa.RecordBatch:
+        """A row for each bucket with its words; a row without words for a language's number."""
+        ids = np.array(sorted(found), np.int64)
+        order = np.argsort(ids.view(np.uint64))
+        ids = ids[order].view(np.uint64)
+        bucket = bucket_of(ids, buckets)
+        edges = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(ids)]]).tolist()
+        entries = [found[x] for x in ids.view(np.int64).tolist()]
+        rows = [(int(bucket[a]), ids[a:b].tobytes(), [e[0] for e in entries[a:b]],
+                 [e[1] for e in entries[a:b]]) for a, b in zip(edges, edges[1:])]
+        rows += [(int(bucket_of(hash_words([lang.encode()]), buckets)[0]),
+                  np.array([n]).tobytes(), [lang], None) for lang, n in totals.items()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([*langs, *totals], pa.string()), pa.array([*words, *none], pa.binary()),
-             pa.array([*found, *none], pa.int64()),
-             pa.array([*counts, *totals.values()], pa.int64())],
-            names=["lang", "word", "id", "f"],
+            [pa.array(x, f.type) for x, f in zip(zip(*rows), kind)] if rows
+            else [pa.array([], f.type) for f in kind], schema=kind,
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple] = {}
         totals: dict[str, int] = {}
         for lot in lots(batches):
             at = lot.starts(1)
             for lang, n in zip(lot.langs, np.bincount(lot.rows[at], minlength=len(lot.langs))):
                 totals[lang] = totals.get(lang, 0) + int(n)
-            ids, first, times = np.unique(lot.ids[at], return_index=True, return_counts=True)
-            places = at[first]
-            for key, row, place, n in zip(ids.view(np.int64).tolist(), lot.rows[places].tolist(),
-                                          places.tolist(), times.tolist()):
-                entry = found.get(key)
-                if entry is None:
-                    found[key] = [lot.langs[row], lot.words[place], n]
-                else:
-                    entry[2] += n
+            ids, first = np.unique(lot.ids[at], return_index=True)
+            passed = frequent.passes(ids)
+            places = at[first[passed]]
+            for key, row, place in zip(ids[passed].view(np.int64).tolist(),
+                                       lot.rows[places].tolist(), places.tolist()):
+                if key not in found:
+                    found[key] = (lot.langs[row], lot.words[place])
             if len(found) > HELD_WORDS:
-                yield rows(found, totals)
+                yield packed(found, totals)
                 found, totals = {}, {}
-        yield rows(found, totals)
+        yield packed(found, totals)
 
-    counts = texts.mapInArrow(run, "lang string, word binary, id long, f long")
-    return counts.groupBy("lang", "word").agg(F.min("id").alias("id"), F.sum("f").alias("f"))
+    def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple] = {}
+        totals: dict[str, int] = {}
+        for batch in batches:
+            for raw, langs, words in zip(*(batch.column(x) for x in ("ids", "langs", "words"))):
+                ids = np.frombuffer(raw.as_buffer(), np.int64).tolist()
+                if words.is_valid:
+                    found.update(zip(ids, zip(langs.as_py(), words.as_py())))
+                else:
+                    totals[langs[0].as_py()] = totals.get(langs[0].as_py(), 0) + ids[0]
+        langs, words = zip(*found.values()) if found else ((), ())
+        none = [None] * len(totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*langs, *totals], pa.string()), pa.array([*words, *none], pa.binary()),
+             pa.array([*found, *none], pa.int64()),
+             pa.array([*[None] * len(found), *totals.values()], pa.int64())],
+            names=["lang", "word", "id", "n"],
+        )
+
+    listed = texts.mapInArrow(scan, "bucket long, ids binary, langs array<string>, words array<binary>")
+    one = dealt(listed, buckets).groupBy("bucket").applyInArrow(
+        unite, "lang string, word binary, id long, n long"
+    )
+    return one.withColumn("word", F.col("word").cast("string"))
 
 
 def supports(docs: DataFrame, m: Mining) -> list[int]:
@@ -239,19 +311,18 @@ def supports(docs: DataFrame, m: Mining) -> list[int]:
     return [max(1, -(-m.support * x // total)) for x in sizes]
 
 
-def possible(lot: Lot, size: int, below: np.ndarray, bits: int) -> np.ndarray:
+def possible(lot: Lot, size: int, below: Sieve) -> np.ndarray:
     """Places of phrases whose two parts of one word less pass the filter."""
     at = lot.starts(size)
-    passed = in_filter(below, lot.keys(size - 1), bits)
+    passed = below.passes(lot.keys(size - 1))
     return at[passed[at] & passed[at + 1]]
 
 
 def locally_frequent(
-    texts: DataFrame, size: int, below: np.ndarray, needed: list[int], buckets: int, bits: int
-) -> np.ndarray:
+    texts: DataFrame, size: int, below: Sieve, needed: list[int], buckets: int, bits: int
+) -> Sieve:
     """Filter of the phrases of ``size`` words that some shard holds as often as it must, among
     those whose parts pass the filter ``below``."""
-    shared = texts.sparkSession.sparkContext.broadcast(below)
 
     def sent(tallies: list[Tally]) -> Iterator[pa.RecordBatch]:
         for shard, tally in enumerate(tallies):
@@ -260,11 +331,11 @@ def locally_frequent(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = [Tally() for _ in needed]
         for lot in lots(batches):
-            at = possible(lot, size, shared.value, bits)
+            at = possible(lot, size, below)
             keys, shard = lot.keys(size)[at], lot.shards[lot.rows[at]]
             for i in np.unique(shard).tolist():
                 tallies[i].add(keys[shard == i])
-            if sum(t.size for t in tallies) > SENT:
+            if sum(t.new for t in tallies) > SENT:
                 yield from sent(tallies)
                 tallies = [Tally() for _ in needed]
         yield from sent(tallies)
@@ -276,7 +347,9 @@ def locally_frequent(
 
     sums = texts.mapInArrow(scan, "bucket long, c0 binary, c1 binary")
     united = dealt(sums, buckets * len(needed)).groupBy("bucket").applyInArrow(mine, "hashes binary")
-    return build_filter(united, bits)
+    united = keep(united, "united")
+    held = united.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
+    return Sieve.over(united, held // 8, bits)
 
 
 def dealt(sums: DataFrame, buckets: int) -> DataFrame:
@@ -286,24 +359,23 @@ def dealt(sums: DataFrame, buckets: int) -> DataFrame:
 
 
 def count_candidates(
-    texts: DataFrame, pairs: np.ndarray, triples: np.ndarray, buckets: int, m: Mining
+    texts: DataFrame, pairs: Sieve, triples: Sieve, buckets: int, m: Mining
 ) -> DataFrame:
     """``key, a, w1, w2, w3, head, tail`` of the phrases that pass the filters and are found
     ``support`` times in all documents; the last three only for triples."""
-    context = texts.sparkSession.sparkContext
-    filters = {2: context.broadcast(pairs), 3: context.broadcast(triples)}
+    sieves = {2: pairs, 3: triples}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(3)
         for lot in lots(batches):
-            for size, shared in filters.items():
+            for size, sieve in sieves.items():
                 at = lot.starts(size)
                 keys = lot.keys(size)[at]
-                passed = in_filter(shared.value, keys, m.bits)
+                passed = sieve.passes(keys)
                 at, keys = at[passed], keys[passed]
                 last = lot.ids[at + 2] if size == 3 else np.zeros(len(at), np.uint64)
                 tally.add(keys, None, (lot.ids[at], lot.ids[at + 1], last))
-            if tally.size > SENT // 2:
+            if tally.new > SENT // 2:
                 yield by_bucket(tally.merge(), buckets, 0)
                 tally = Tally(3)
         yield by_bucket(tally.merge(), buckets, 0)
@@ -396,15 +468,18 @@ def collocations(docs: DataFrame, m: Mining = Mining()) -> DataFrame:
     texts = inputs(docs, m.shards)
     buckets = bucket_count(docs, BUCKET_BYTES)
     needed = supports(docs, m)
-    counts = word_counts(texts).filter(F.col("word").isNull() | (F.col("f") >= m.support))
-    counts = keep(counts.withColumn("word", F.col("word").cast("string")), "words")
-    words = counts.filter("word IS NOT NULL")
-    frequent = build_filter(pack_hashes(words.select(F.col("id").alias("h"))), m.bits)
+    counts = keep(frequent_words(texts, buckets, m.support), "counts")
+    hashed = pack_hashes(counts.select(F.col("id").alias("h")))
+    frequent = Sieve.over(hashed, counts.count(), m.bits)
+    listed = keep(names(texts, frequent, buckets), "names")
+    words = listed.filter("word IS NOT NULL").drop("n").join(counts, "id")
     pairs = locally_frequent(texts, 2, frequent, needed, buckets, m.bits)
     triples = locally_frequent(texts, 3, pairs, needed, buckets, m.bits)
     found = keep(count_candidates(texts, pairs, triples, buckets, m), "phrases")
+    for sieve in (frequent, pairs, triples):
+        sieve.shared.destroy()
     ranked = best(scored_phrases(found, words, m), m)
-    totals = counts.filter("word IS NULL").select("lang", F.col("f").alias("n"))
+    totals = listed.filter("word IS NULL").select("lang", "n")
     return ranked.join(totals, "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )

@@ -41,7 +41,12 @@ def lower_white_words(text: bytes) -> list[bytes]:
 
 def letter_words(text: bytes) -> list[bytes]:
     """Words of letters, digits and all non-ASCII characters, A-Z in lower case."""
-    return text.translate(_LETTERS).split()
+    return only_letters(text).split()
+
+
+def only_letters(text: bytes) -> bytes:
+    """The same with a blank for everything else."""
+    return text.translate(_LETTERS)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

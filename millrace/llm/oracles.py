@@ -362,6 +362,30 @@ FROM z JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang) US
 WHERE rank <= 2000"""
 
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label,
+         CAST(list_sum(list_transform(list_zip(a.c, b.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE own = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+                               ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE own <> label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
 ORACLES = {
     "op1_license_scan": license_scan(),
     "op2_quality_rules": quality_rules(),
@@ -370,4 +394,5 @@ ORACLES = {
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_substring_dedup": SUBSTRINGS,
     "op11_collocations": COLLOCATIONS,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    classifier, collocations, decontamination, license_scan, near_dups, packing, quality_rules, sharding,
-    substring_dedup, suffix_dedup, url_filter,
+    classifier, collocations, decontamination, hard_negatives, license_scan, near_dups, packing, quality_rules, sharding,
+    substring_dedup, suffix_dedup, toxicity, url_filter,
 )
 from millrace.llm.common import keep, read
 from millrace.llm.oracles import ORACLES
@@ -82,11 +82,24 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("rank", F.col("rank").cast("long"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), label.alias("label"),
+        hard_negatives.whole_numbers(F.col("embedding")).alias("vector"),
+    )
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0)
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_rules, op3_url_filter, op4_suffix_dedup, op5_decontamination,
     op6_packing, op7_sharding,
     op8_near_duplicates, op9_quality_classifier,
-    op10_substring_dedup, op11_collocations,
+    op10_substring_dedup, op11_collocations, op12_toxicity, op13_hard_negatives,
 )}
