@@ -37,10 +37,11 @@ _PIECES = bytes(
     c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
 )
 _END = b"."
+SLICE_BYTES = 1 << 19  # of texts at a time
 LOT_BYTES = 4 << 20  # of one text at a time
-HELD = 400_000  # keys a task gathers before it adds them up
-SENT = 1_600_000  # keys a task holds before it sends them
-HELD_WORDS = 150_000
+HELD = 150_000  # keys a task gathers before it adds them up
+SENT = 800_000  # keys a task holds before it sends them
+HELD_WORDS = 60_000
 BUCKET_BYTES = 16 << 20
 
 
@@ -102,7 +103,7 @@ def cuts(text: bytes, most: int) -> Iterator[bytes]:
 
 def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
     """Texts of batches with ``lang``, ``shard`` and ``text``, a long one in several lots."""
-    for part in slices(batches, lambda _: []):
+    for part in slices(batches, lambda _: [], most=SLICE_BYTES):
         langs = part.batch.column("lang").to_pylist()
         shards = np.asarray(part.batch.column("shard").to_numpy(zero_copy_only=False), np.int64)
         if len(part.texts) > 1 or len(part.texts[0]) <= LOT_BYTES:
@@ -164,13 +165,13 @@ def by_bucket(merged: tuple[np.ndarray, ...], buckets: int, first: int) -> pa.Re
     """A row for each bucket with the raw numbers of its keys; buckets count from ``first``."""
     bucket = bucket_of(merged[0], buckets)
     edges = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
-    raw = [np.ascontiguousarray(x, np.int64).tobytes() for x in merged]
-    spans = [(8 * a, 8 * b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-    names = ["bucket", *(f"c{i}" for i in range(len(raw)))]
+    sizes = pa.py_buffer((8 * edges).astype(np.int32))
+    raw = [pa.py_buffer(np.ascontiguousarray(x).view(np.int64)) for x in merged]
+    count = len(edges) - 1
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[edges[:-1]] + first, pa.int64()),
-         *(pa.array([x[a:b] for a, b in spans], pa.binary()) for x in raw)],
-        names=names,
+         *(pa.Array.from_buffers(pa.binary(), count, [None, sizes, x]) for x in raw)],
+        names=["bucket", *(f"c{i}" for i in range(len(raw)))],
     )
 
 
