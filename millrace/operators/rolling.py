@@ -163,8 +163,10 @@ def compose(a: Span, b: Span, policy: RollPolicy) -> Span:
     due[0] |= paused
     due[-1] |= b.must_roll
     count = int(np.argmax(due)) + 1 if due.any() else len(due)
+    # Where only a pause rolls, no row before the first that is due can.
+    begin = 0 if policy.age_us < OFF or policy.size < OFF else count - int(due.any())
     added = (b.at_ts, before, b.end_open, b.end_bytes, b.rolls)
     mine = (both.at_ts, both.before, both.end_open, both.end_bytes, both.rolls)
-    joined = [np.concatenate([x, y[:count]]) for x, y in zip(mine, added)]
+    joined = [np.concatenate([x, y[begin:count]]) for x, y in zip(mine, added)]
     arrays = dict(zip(Span._fields[4:], joined))
     return merge_equal(both._replace(must_roll=bool(due.any()), **arrays))

@@ -8,6 +8,7 @@ from millrace.plans.queries import (
     FILE_POLICY,
     FIRST_INSTANT_US,
     FRESH_S,
+    LAND_POLICY,
     MAX_FILE_BYTES,
     ONE_BUCKET,
     POLICY,
@@ -71,6 +72,31 @@ p AS (
 )"""
 
 
+def scorecard(before: str, largest: str, limit: int) -> str:
+    """The six checks; ``before`` defines the records, ``largest`` the size of the largest file."""
+    return f"""{before},
+f AS (
+  SELECT count(*) AS records, count(DISTINCT index) AS n, min(index) AS lo, max(index) AS hi,
+         max(us) AS newest, {largest} AS largest
+  FROM r
+),
+c AS (
+  SELECT 'table_not_empty' AS "check", records > 0 AS ok FROM f
+  UNION ALL SELECT 'lines_match', (SELECT bool_and(regexp_matches(foams,
+    '^Record-\\d+: Data from foams column at \\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d(\\.\\d{{3,9}})?Z$'))
+    FROM r) FROM f
+  UNION ALL SELECT 'no_duplicates', n = records FROM f
+  UNION ALL SELECT 'no_gaps', hi - lo + 1 = n FROM f
+  UNION ALL SELECT 'fresh',
+    newest >= epoch_us(TIMESTAMP '{AS_OF}') - {FRESH_S * 1_000_000} FROM f
+  UNION ALL SELECT 'file_sizes', largest <= {limit} FROM f
+),
+t AS (SELECT CAST(count(*) FILTER (ok) AS INTEGER) AS score FROM c)
+SELECT "check", CAST(ok AS INTEGER) AS passed, score,
+       CASE WHEN score = 6 THEN 'ok' WHEN score >= 4 THEN 'partial' ELSE 'failed' END AS verdict
+FROM c, t"""
+
+
 GENERATED = """
 g AS (
   SELECT range AS index, make_timestamp({first} + range * 500000) AS ts
@@ -157,25 +183,29 @@ FROM events""",
 WITH {RECORDS}
 SELECT count(*) AS records, CAST(sum(octet_length(encode(foams)) + 1) AS BIGINT) AS bytes
 FROM r""",
-    "health_scorecard": f"""{parts(2)},
-f AS (
-  SELECT count(*) AS records, count(DISTINCT index) AS n, min(index) AS lo, max(index) AS hi,
-         max(us) AS newest, (SELECT max(bytes) FROM p) AS largest
-  FROM r
-),
-c AS (
-  SELECT 'table_not_empty' AS "check", records > 0 AS ok FROM f
-  UNION ALL SELECT 'lines_match', (SELECT bool_and(regexp_matches(foams,
-    '^Record-\\d+: Data from foams column at \\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d(\\.\\d{{3,9}})?Z$'))
-    FROM r) FROM f
-  UNION ALL SELECT 'no_duplicates', n = records FROM f
-  UNION ALL SELECT 'no_gaps', hi - lo + 1 = n FROM f
-  UNION ALL SELECT 'fresh',
-    newest >= epoch_us(TIMESTAMP '{AS_OF}') - {FRESH_S * 1_000_000} FROM f
-  UNION ALL SELECT 'file_sizes', largest <= {MAX_FILE_BYTES} FROM f
-),
-t AS (SELECT CAST(count(*) FILTER (ok) AS INTEGER) AS score FROM c)
-SELECT "check", CAST(ok AS INTEGER) AS passed, score,
-       CASE WHEN score = 6 THEN 'ok' WHEN score >= 4 THEN 'partial' ELSE 'failed' END AS verdict
-FROM c, t""",
+    "health_scorecard": scorecard(parts(2), "(SELECT max(bytes) FROM p)", MAX_FILE_BYTES),
+    "foreign_layout": f"""
+WITH {RECORDS} SELECT bucket, count(*) AS records FROM r GROUP BY bucket""",
+    "redeploy": f"""
+WITH {RECORDS}, m AS (SELECT floor(avg(us)) AS middle FROM r)
+SELECT foams || CASE WHEN us > middle THEN '#2' ELSE '' END AS foams, bucket FROM r, m""",
+    "progress_rows": """
+SELECT count(*) AS rows_read, CAST(1 AS BIGINT) AS failures, CAST(2 AS BIGINT) AS finished
+FROM events""",
+    "live_parts": f"{parts(1)} SELECT bucket, subtask, index, part FROM g",
+    "facts_per_hour": f"""
+WITH {RECORDS}
+SELECT bucket, count(*) AS records,
+       CAST(sum(octet_length(encode(foams)) + 1) AS BIGINT) AS bytes
+FROM r GROUP BY bucket""",
+    "recent_by_facts": f"WITH {RECORDS} SELECT index, foams FROM r WHERE {RECENT}",
+    # A file holds lines of one hour, and no hour reaches the limit.
+    "grown_scorecard": scorecard(
+        f"WITH {RECORDS}",
+        "(SELECT max(b) FROM (SELECT sum(octet_length(encode(foams)) + 1) AS b FROM r GROUP BY bucket))",
+        LAND_POLICY.max_bytes,
+    ),
+    "listing_scorecard": scorecard(
+        parts(2, FILE_POLICY), "(SELECT max(bytes) FROM p)", FILE_POLICY.max_bytes + 82
+    ),
 }

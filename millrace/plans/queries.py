@@ -250,9 +250,8 @@ def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def last_rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last five files of the listing."""
-    files = rolled_files(spark, sf_dir)
-    newest = files.orderBy(*[F.col(c).desc() for c in ("bucket", "subtask", "part")]).limit(5)
-    return newest.select(parts.part_name().alias("name"), "records", "bytes")
+    newest = tables.last_part_files(spark, rolled_table(spark, sf_dir), 5)
+    return newest.select(parts.part_name().alias("name"), "records", F.col("length").alias("bytes"))
 
 
 def rolled_layout(spark: SparkSession, sf_dir: str) -> DataFrame:

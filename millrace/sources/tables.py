@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from millrace.functions.records import BUCKET_PATTERN
 
 LINE_SCHEMA = "foams STRING"
 TABLE_SCHEMA = "foams STRING, bucket STRING"
 
+NULL_MARK = "\x01"
+
 # Both sides of a CSV file: nothing is trimmed, quotes are doubled, line ends stay as they
 # are, and a null is a control character, so it differs from an empty text.
 CSV_OPTIONS = {
@@ -16,7 +19,7 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    "nullValue": "\x01",
+    "nullValue": NULL_MARK,
     "emptyValue": "",
 }
 
@@ -75,7 +78,24 @@ def scan_file(spark: SparkSession, path: str) -> DataFrame:
 def scan_csv(spark: SparkSession, path: str, schema: str = LINE_SCHEMA) -> DataFrame:
     """Headerless CSV scan. A row that does not fit the schema fails the scan."""
     options = {**CSV_OPTIONS, "multiLine": True, "mode": "FAILFAST"}
-    return spark.read.schema(schema).options(**options).csv(path)
+    rows = spark.read.schema(schema).options(**options).csv(path)
+    return with_texts(rows, lambda x: F.when(x.rlike(f"^{NULL_MARK}{{2,}}$"), F.substr(x, F.lit(2))))
+
+
+def with_texts(rows: DataFrame, change) -> DataFrame:
+    """Rows with their text columns as ``change`` gives them; as they are where that is null."""
+    texts = {f.name for f in rows.schema if f.dataType == StringType()}
+    quoted = {n: F.col(f"`{n}`") for n in rows.columns}
+    return rows.select(*[
+        F.coalesce(change(c), c).alias(n) if n in texts else c for n, c in quoted.items()
+    ])
+
+
+def guarded(rows: DataFrame) -> DataFrame:
+    """Texts made of null marks alone get one more, which :func:`scan_csv` takes off again."""
+    return with_texts(
+        rows, lambda x: F.when(x.rlike(f"^{NULL_MARK}+$"), F.concat(F.lit(NULL_MARK), x))
+    )
 
 
 def register_table(spark: SparkSession, name: str, root: str) -> DataFrame:
@@ -120,22 +140,48 @@ def inventory_bucket() -> Column:
     return F.regexp_extract("path", BUCKET_PATTERN, 1)
 
 
+PART_PLACE = r"/bucket=([^/]*)/subtask=(\d+)/part=(\d+)/"
+
+
+def listed_parts(spark: SparkSession, root: str) -> DataFrame:
+    """``bucket, subtask, part, path, length`` of a table that was written part by part, from its
+    listing alone."""
+    keys = [F.regexp_extract("path", PART_PLACE, i) for i in (1, 2, 3)]
+    return file_inventory(spark, root, PART_PLACE + r"[^/]*\.txt$").select(
+        keys[0].alias("bucket"), keys[1].cast("long").alias("subtask"),
+        keys[2].cast("long").alias("part"), "path", "length",
+    )
+
+
 def part_files(spark: SparkSession, root: str) -> DataFrame:
-    """Listing of a table that was written part by part: ``bucket, subtask, part, path, length,
-    records``."""
-    place = r"/bucket=([^/]*)/subtask=(\d+)/part=(\d+)/"
-    files = file_inventory(spark, root, place + r"[^/]*\.txt$")
-    keys = [F.regexp_extract("path", place, i) for i in (1, 2, 3)]
-    lines = rows_per_file(scan_foreign(spark, root))
+    """The same with the ``records`` of each file, from one scan of the table."""
+    return with_records(listed_parts(spark, root), scan_foreign(spark, root))
+
+
+def last_part_files(spark: SparkSession, root: str, n: int) -> DataFrame:
+    """The last ``n`` parts, with their ``records``: only these files are opened."""
+    newest = listed_parts(spark, root).orderBy(
+        *[F.col(c).desc() for c in ("bucket", "subtask", "part", "path")]
+    ).limit(n)
+    rows = newest.collect()  # n names
+    if not rows:
+        return newest.withColumn("records", F.lit(0).cast("long"))
+    lines = spark.read.schema(LINE_SCHEMA).text([r["path"] for r in rows])
+    return with_records(spark.createDataFrame(rows, newest.schema), lines)
+
+
+def with_records(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """Listed parts with their line counts. Paths meet by part and name, as a listing and a scan
+    may spell the rest of them differently."""
     name = F.element_at(F.split("path", "/"), -1)
-    counted = lines.select(*[F.regexp_extract("path", place, i).alias(f"_{i}") for i in (1, 2, 3)],
-                           name.alias("_name"), "records")
-    same = [F.col(f"_{i + 1}") == key for i, key in enumerate(keys)]
-    met = files.withColumn("name", name).join(counted, [*same, F.col("name") == F.col("_name")])
-    return met.select(
-        keys[0].alias("bucket"), keys[1].cast("long").alias("subtask"),
-        keys[2].cast("long").alias("part"), "path", "length", "records",
+    counted = rows_per_file(lines).select(
+        F.regexp_extract("path", PART_PLACE, 1).alias("bucket"),
+        F.regexp_extract("path", PART_PLACE, 2).cast("long").alias("subtask"),
+        F.regexp_extract("path", PART_PLACE, 3).cast("long").alias("part"),
+        name.alias("name"), "records",
     )
+    keys = ["bucket", "subtask", "part", "name"]
+    return files.withColumn("name", name).join(counted, keys).drop("name")
 
 
 def last_files(files: DataFrame, n: int) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
-from threading import Lock
+from functools import reduce
+from threading import RLock
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -19,7 +21,7 @@ PROGRESS_SCHEMA = (
     "name string, batchId long, timestamp string, numInputRows long, "
     "inputRowsPerSecond double, processedRowsPerSecond double, durationMs long"
 )
-ENDED_SCHEMA = "runId string, error string"
+REPORT_SCHEMA = f"seq long, {PROGRESS_SCHEMA}, runId string, error string"
 
 
 class StreamJob:
@@ -142,17 +144,28 @@ def progress_table(spark: SparkSession, entries) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps every progress report and ending of the queries of a session.
+    """Keeps every progress report and ending of the queries of a session in ``folder``, which
+    all machines share.
 
-    Reports are held until there are ``batch`` of them and then appended to Parquet tables in
-    ``folder``, which all machines share: nothing is dropped, and memory stays bounded.
+    A report is a small file of its own, with a sequence number, before the call that brings it
+    returns, so the end of the driver loses nothing. ``batch`` of them are merged into a Parquet
+    table; a report that is found both there and as a file, because the merge was cut off, is
+    read once. A new log over the same folder goes on with the numbers.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, batch: int = 1000) -> None:
+    def __init__(self, spark: SparkSession, folder: str, batch: int = 200) -> None:
         self.spark, self.folder, self.batch = spark, folder.rstrip("/"), batch
-        self.entries: list[dict] = []
-        self.ended: list[tuple] = []
-        self._lock = Lock()
+        self._lock = RLock()
+        self._files = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self._files.mkdirs(self._path("pending"))
+        self._pending = [f.getPath().getName() for f in self._files.listStatus(self._path("pending"))]
+        merged = self._merged()
+        last = merged.agg(F.max("seq")).first()[0] if merged is not None else None
+        named = [int(n.split(".")[0]) for n in self._pending if n.endswith(".json")]
+        self._next = max([-1 if last is None else last, *named]) + 1
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -160,50 +173,61 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.entries.append(
-            {
-                "name": p.name,
-                "batchId": p.batchId,
-                "timestamp": p.timestamp,
-                "numInputRows": p.numInputRows,
-                "inputRowsPerSecond": p.inputRowsPerSecond,
-                "processedRowsPerSecond": p.processedRowsPerSecond,
-                "durationMs": dict(p.durationMs),
-            }
-        )
-        if len(self.entries) >= self.batch:
-            self.flush()
+        self._append(
+            name=p.name, batchId=p.batchId, timestamp=p.timestamp, numInputRows=p.numInputRows,
+            inputRowsPerSecond=p.inputRowsPerSecond, processedRowsPerSecond=p.processedRowsPerSecond,
+            durationMs=dict(p.durationMs).get("triggerExecution"),
+        )
 
     def onQueryTerminated(self, event) -> None:
-        self.ended.append((str(event.runId), event.exception))
-        if len(self.ended) >= self.batch:
-            self.flush()
+        self._append(runId=str(event.runId), error=event.exception)
+
+    def _append(self, **report) -> None:
+        with self._lock:
+            # A rate of nothing in no time is no number, which JSON cannot hold.
+            report = {k: v if v == v else None for k, v in report.items()}
+            name = f"{self._next:015d}.json"
+            line = json.dumps({"seq": self._next, **report}).encode()
+            out = self._files.create(self._path(f"pending/.{name}"), True)
+            out.write(bytearray(line))
+            out.close()
+            self._files.rename(self._path(f"pending/.{name}"), self._path(f"pending/{name}"))
+            self._pending.append(name)
+            self._next += 1
+            if len(self._pending) >= self.batch:
+                self.flush()
 
     def flush(self) -> None:
-        """Write what is held."""
+        """Merge the small files into the table."""
+        with self._lock:
+            pending = self._read_pending()
+            if pending is not None:
+                pending.coalesce(1).write.mode("append").parquet(f"{self.folder}/merged")
+                for name in self._pending:
+                    self._files.delete(self._path(f"pending/{name}"), False)
+                self._pending = []
+
+    def _read_pending(self) -> DataFrame | None:
+        paths = [f"{self.folder}/pending/{n}" for n in self._pending if n.endswith(".json")]
+        return self.spark.read.schema(REPORT_SCHEMA).json(paths) if paths else None
+
+    def _merged(self) -> DataFrame | None:
+        path = self._path("merged")
+        if not self._files.exists(path):
+            return None
+        return self.spark.read.schema(REPORT_SCHEMA).parquet(f"{self.folder}/merged")
+
+    def reports(self) -> DataFrame:
+        """All reports and endings so far, by ``seq``."""
         with self._lock:
-            entries, self.entries = self.entries, []
-            ended, self.ended = self.ended, []
-            if entries:
-                table = progress_table(self.spark, entries)
-                table.coalesce(1).write.mode("append").parquet(f"{self.folder}/progress")
-            if ended:
-                table = self.spark.createDataFrame(ended, ENDED_SCHEMA)
-                table.coalesce(1).write.mode("append").parquet(f"{self.folder}/ended")
+            found = [x for x in (self._merged(), self._read_pending()) if x is not None]
+        empty = self.spark.createDataFrame([], REPORT_SCHEMA)
+        return reduce(DataFrame.unionByName, found, empty).dropDuplicates(["seq"])
 
     def table(self) -> DataFrame:
         """All progress reports so far."""
-        self.flush()
-        return self._read("progress", PROGRESS_SCHEMA)
+        return self.reports().filter("runId IS NULL").drop("seq", "runId", "error")
 
     def endings(self) -> DataFrame:
         """``runId, error`` of all queries that ended so far."""
-        self.flush()
-        return self._read("ended", ENDED_SCHEMA)
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        empty = self.spark.createDataFrame([], schema)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return empty
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+        return self.reports().filter("runId IS NOT NULL").select("runId", "error")

@@ -10,7 +10,7 @@ from millrace.functions.records import MAX_LINE_BYTES
 from millrace.operators.parts import assign_parts
 from millrace.operators.policy import RollPolicy
 from millrace.sources.generator import LiveRecords
-from millrace.sources.tables import CSV_OPTIONS
+from millrace.sources.tables import CSV_OPTIONS, guarded
 
 
 def by_bucket(records: DataFrame, spread: bool) -> DataFrame:
@@ -103,4 +103,4 @@ def write_parts(
 def export_csv(rows: DataFrame, path: str, mode: str = "error") -> None:
     """Headerless CSV result. Every value is quoted, so spaces at the ends, separators, quotes
     and line ends survive."""
-    rows.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", True).csv(path)
+    guarded(rows).write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", True).csv(path)

@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 from oracle import compare, connect
 
 from millrace.plans.oracles import ORACLES as SQL
-from millrace.plans.queries import QUERIES
+from __spark_entry__ import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -75,3 +75,12 @@ def test_listed_rows_stay_within_the_size_limit():
     assert len(span.at_ts) <= 102
     both = compose(span, describe(ts + n, size, RollPolicy(None, None, 6100)), RollPolicy(None, None, 6100))
     assert len(both.at_ts) <= 102
+
+
+def test_spans_where_only_a_pause_rolls_stay_small():
+    policy, whole = RollPolicy(None, 30, None), None
+    for i in range(100):
+        ts = np.arange(50, dtype=np.int64) * 1_000_000 + i * 50_000_000
+        span = describe(ts, np.full(50, 61), policy)
+        whole = span if whole is None else compose(whole, span, policy)
+        assert len(whole.at_ts) <= 2

@@ -261,3 +261,26 @@ def test_progress_log_keeps_everything(spark, place, tmp_path):
         spark.streams.removeListener(log)
     rows = log.table().filter("name = 'logged' and numInputRows > 0").collect()
     assert [r["numInputRows"] for r in rows] == [25] * 3 and all(r["durationMs"] > 0 for r in rows)
+
+
+def test_a_log_that_was_not_flushed_loses_nothing(spark, place, tmp_path):
+    """The driver ends right after the last batch: another log over the folder has it all."""
+    folder = str(tmp_path / "log")
+    log = ProgressLog(spark, folder, batch=1000)
+    spark.streams.addListener(log)
+    try:
+        once(stream_records(spark, rate=25, trigger_s=1), place, name="logged")
+        until(lambda: log.endings().count() >= 1)
+    finally:
+        spark.streams.removeListener(log)
+    again = ProgressLog(spark, folder)
+    assert again.table().agg(F.sum("numInputRows")).first()[0] == 25
+    assert again.endings().filter("error IS NULL").count() == 1
+    # A merge that was cut off before it removed the small files counts each report once.
+    before = again.reports().count()
+    again._read_pending().write.mode("append").parquet(f"{folder}/merged")
+    assert ProgressLog(spark, folder).reports().count() == before
+    again = ProgressLog(spark, folder)
+    again.flush()
+    again._append(name="more", numInputRows=1, inputRowsPerSecond=float("nan"))
+    assert again.reports().count() == before + 1 == again.reports().agg(F.max("seq")).first()[0] + 1

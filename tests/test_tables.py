@@ -117,7 +117,8 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_csv_keeps_awkward_text(spark, tmp_path):
-    texts = [" lead", "t ", "", None, "x\ny", "a,b", 'say "hi"', "\\", "\\N", "tab\t", '"', "é, ü"]
+    texts = [" lead", "t ", "", None, "x\ny", "a,b", 'say "hi"', "\\", "\\N", "tab\t", '"', "é, ü",
+             "\x01", "\x01\x01", "a\x01", "\x01 b"]
     rows = spark.createDataFrame([(t,) for t in texts], "foams string").coalesce(1)
     path = str(tmp_path / "csv")
     export_csv(rows, path)
