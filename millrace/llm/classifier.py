@@ -76,7 +76,7 @@ def structure(texts: list[bytes], words: list[int], distinct: np.ndarray, stored
             size / n1 / 10,
             np.log1p(n) / 8,
             1 - len(set(lines)) / max(len(lines), 1),
-            np.log1p(max(stored[i] or 0, 0)) / 10,
+            np.log1p(max(stored[i], 0)) / 10,
         )
     return out
 
@@ -92,7 +92,8 @@ def features(part, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     value = value / np.maximum(scale, 1e-9)[row]
     distinct = np.bincount(row, minlength=len(part.texts))
     at = part.batch.schema.get_field_index("n_chars")
-    stored = part.batch.column(at).to_pylist() if at >= 0 else [0] * len(part.texts)
+    stored = [whole_number(x) for x in part.batch.column(at).to_pylist()] if at >= 0 \
+        else [0] * len(part.texts)
     measures = structure(part.texts, part.counts.tolist(), distinct, stored)
     # Each measure is a one-of-many cell and a number.
     level = np.minimum((measures * 12).astype(np.int64), 40)
@@ -173,16 +174,25 @@ def training_rows(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     usable = labels.filter(
         F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    one = usable.groupBy("doc_id").agg(F.max("quality").alias("_label"))
+    one = usable.groupBy("doc_id").agg(F.max("quality").cast("int").alias("_label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample)
     # At most ``sample`` narrow rows: the bound is a parameter.
-    return docs.join(F.broadcast(chosen), "doc_id")
+    texts = inputs(docs, "doc_id").join(F.broadcast(chosen), "doc_id")
+    return texts.withColumn("_order", F.xxhash64("doc_id", "text"))
 
 
 def inputs(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and what a score is made of."""
     stored = ["n_chars"] if "n_chars" in docs.columns else []
-    return docs.select(*columns, *[F.col(x).cast("long") for x in stored],
-                       F.col("text").cast("binary").alias("text"))
+    return docs.select(*columns, *stored, F.col("text").cast("binary").alias("text"))
+
+
+def whole_number(value) -> int:
+    """A stored length, whatever its type; 0 if it is no number."""
+    try:
+        return int(float(value))
+    except (TypeError, ValueError, OverflowError):
+        return 0
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
@@ -195,10 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
                 names=["_order", "_label", "index", "value"],
             )
 
-    rows = training_rows(docs, labels, s).withColumns(
-        {"_order": F.xxhash64("doc_id", "text"), "_label": F.col("_label").cast("int")}
-    )
-    found = inputs(rows, "_order", "_label").mapInArrow(
+    found = training_rows(docs, labels, s).drop("doc_id").mapInArrow(
         run, "_order long, _label int, index binary, value binary"
     ).collect()
     # Repeated rows of a document add nothing.

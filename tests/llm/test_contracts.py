@@ -286,3 +286,56 @@ def test_repeats_far_into_a_long_text(spark, tmp_path):
     kept = {1: long_, 2: other}
     for doc_id, text in rows:
         assert tuple(got[doc_id])[1:] == (len(text), 600, 1, brute.sha(kept[doc_id]))
+
+
+def test_pairs_of_the_machine_are_those_of_the_sum():
+    """Scores in linear time equal the sum over all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    model = classifier.Model(0.3, rng.normal(size=50), rng.normal(size=(50, 4)))
+    bounds = np.array([0, 1, 6, 17])
+    index = np.concatenate([rng.choice(50, n, replace=False) for n in np.diff(bounds)])
+    value = rng.normal(size=17)
+    got = classifier.raw_scores(model, index, value, bounds)[0]
+    for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        want = model.bias + sum(model.linear[index[i]] * value[i] for i in range(a, b))
+        want += sum(model.factors[index[i]] @ model.factors[index[j]] * value[i] * value[j]
+                    for i in range(a, b) for j in range(i + 1, b))
+        assert got[row] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("operator", ["classifier", "toxicity"])
+def test_names_that_a_classifier_uses_itself(edge, operator):
+    from millrace.llm import toxicity
+
+    docs = edge.withColumns({x: F.lit(7) for x in ("_label", "_order", "order", "label", "kept 0")})
+    docs = docs.withColumn("n_chars", F.when(F.col("doc_id") > 20, "many").otherwise("12"))
+    labels = docs.sparkSession.createDataFrame(
+        [(10, 1, 0), (30, 0, 1), (4, 0, 1)], "doc_id long, quality int, toxic int"
+    )
+    if operator == "toxicity":
+        rows = toxicity.classify(docs, labels, toxicity.Settings(steps=2)).collect()
+    else:
+        fast = classifier.Settings(steps=5)
+        rows = classifier.classify(docs, labels, fast).collect()
+        kept = classifier.filter_documents(docs, labels, fast)
+        assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in rows)
+    assert len(rows) == len(edge_rows())
+
+
+def test_copies_of_a_document_are_numbered_in_many_tasks(spark, monkeypatch):
+    docs = [(7, "a b c")] * 3000 + [(i, f"text {i}") for i in range(900)]
+    seen = {}
+
+    def number(rows, groups, salt, order, name, total, most=100_000):
+        counts = rows.groupBy(F.pmod(salt, F.lit(16)).alias("b")).count().collect()
+        seen["largest"] = max(r["count"] for r in counts)
+        return plain_number(rows, groups, salt, order, name, total, 200)
+
+    plain_number = packing.number
+    monkeypatch.setattr(packing, "number", number)
+    rows = packing.pack_documents(frame(spark, docs), vocabulary()).collect()
+    assert seen["largest"] < 600 and len(rows) == len(docs)
+    places = {(r["sequence_id"], r["offset"]) for r in rows}
+    assert len(places) == len(docs)
