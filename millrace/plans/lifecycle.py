@@ -18,6 +18,7 @@ from millrace.sources import generator, tables
 from millrace.sources.facts import TableFacts
 from millrace.streaming.jobs import ProgressLog, StreamJob
 from millrace.streaming.live_parts import assign_live
+from millrace.streaming.savepoints import Savepoints
 from millrace.streaming.sink import text_writer
 
 MARK = "#2"
@@ -90,6 +91,30 @@ def redeploy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan_table(spark, root)
 
 
+def restore_savepoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job writes all events in two halves; then it goes back to the savepoint between them and
+    writes the second half again with another text."""
+    source = GrowingSource(spark, sf_dir)
+    root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
+    saved = Savepoints(spark, scratch_path(spark, "savepoints"), state, root)
+
+    def build(render):
+        return lambda: text_writer(
+            source.records(render), root, state, LAND_POLICY, available_now=True, spread=True,
+            max_line_bytes=100,
+        )
+
+    job = StreamJob(build(record_text))
+    for first in (True, False):
+        source.add(first)
+        job.start().wait_for_end()
+        saved.save("half" if first else "all", job)
+    saved.restore("half", job)
+    job.redeploy(build(lambda index, ts: F.concat(record_text(index, ts), F.lit(MARK))))
+    job.wait_for_end()
+    return tables.scan_table(spark, root)
+
+
 def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the reports of a job tell whose first run fails in the second half of the events: rows
     read by the batches that were done, endings with and without an error."""
@@ -205,7 +230,7 @@ def listing_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        foreign_layout, redeploy, progress_rows, live_parts, facts_per_hour, recent_by_facts,
+        foreign_layout, redeploy, restore_savepoint, progress_rows, live_parts, facts_per_hour, recent_by_facts,
         grown_scorecard, listing_scorecard,
     )
 }

@@ -97,6 +97,10 @@ SELECT "check", CAST(ok AS INTEGER) AS passed, score,
 FROM c, t"""
 
 
+SECOND_HALF_MARKED = f"""
+WITH {RECORDS}, m AS (SELECT floor(avg(us)) AS middle FROM r)
+SELECT foams || CASE WHEN us > middle THEN '#2' ELSE '' END AS foams, bucket FROM r, m"""
+
 GENERATED = """
 g AS (
   SELECT range AS index, make_timestamp({first} + range * 500000) AS ts
@@ -186,9 +190,8 @@ FROM r""",
     "health_scorecard": scorecard(parts(2), "(SELECT max(bytes) FROM p)", MAX_FILE_BYTES),
     "foreign_layout": f"""
 WITH {RECORDS} SELECT bucket, count(*) AS records FROM r GROUP BY bucket""",
-    "redeploy": f"""
-WITH {RECORDS}, m AS (SELECT floor(avg(us)) AS middle FROM r)
-SELECT foams || CASE WHEN us > middle THEN '#2' ELSE '' END AS foams, bucket FROM r, m""",
+    "redeploy": SECOND_HALF_MARKED,
+    "restore_savepoint": SECOND_HALF_MARKED,
     "progress_rows": """
 SELECT count(*) AS rows_read, CAST(1 AS BIGINT) AS failures, CAST(2 AS BIGINT) AS finished
 FROM events""",
