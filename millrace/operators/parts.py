@@ -170,28 +170,85 @@ def chunk_starts(ordered: DataFrame, policy: RollPolicy, chunks: int, fold_rows:
         .mapInArrow(describe_chunk(policy), SPAN_SCHEMA)
         .checkpoint()
     )
-    longest = spans.agg(F.max(F.size("at_ts"))).first()[0] or 1
-    fan = max(2, min(256, fold_rows // longest))
-    starts = fold(spans, policy, chunks, fan)
+    starts = fold(spans, policy, chunks, fold_rows)
     return starts.filter(F.col("part") >= 0).select(
         F.col("chunk").cast("int").alias("_chunk"),
         F.concat_ws(",", *State._fields).alias("_start"),
     )
 
 
-def fold(spans: DataFrame, policy: RollPolicy, chunks: int, fan: int) -> DataFrame:
-    """State before every span. ``fan`` neighbouring spans are composed into one until one
-    task can walk a whole group; the states found there are handed down again."""
+def fold(spans: DataFrame, policy: RollPolicy, chunks: int, fold_rows: int) -> DataFrame:
+    """State before every span. Neighbouring spans, as many as list ``fold_rows`` rows together at
+    most, are composed into one until one task can walk a whole group; the states found there
+    are handed down again. Where spans have grown too long to compose, as those of a rule do
+    under which a part takes in very many rows, their rows are walked in order instead."""
+    longest = spans.agg(F.max(F.size("at_ts"))).first()[0] or 1
+    fan = min(256, fold_rows // longest)
+    if fan < 2:
+        return walk_rows(spans, policy)
     if chunks <= fan:
         return spans.groupBy(*GROUP).applyInPandas(walk(policy), START_SCHEMA)
     block = F.floor(F.col("chunk") / fan).alias("block")
     blocks = spans.groupBy(*GROUP, block).applyInPandas(compose_all(policy, fan), SPAN_SCHEMA)
-    starts = fold(blocks.checkpoint(), policy, math.ceil(chunks / fan), fan)
+    starts = fold(blocks.checkpoint(), policy, math.ceil(chunks / fan), fold_rows)
     inside = spans.groupBy(*GROUP, block)
     outside = starts.groupBy(*GROUP, F.col("chunk").alias("block"))
     return inside.cogroup(outside).applyInPandas(walk_from(policy), START_SCHEMA)
 
 
+def walk_rows(spans: DataFrame, policy: RollPolicy) -> DataFrame:
+    """State before every span, from the rows they list, which pass in order: a task holds one
+    batch of them and one state."""
+    entry = F.arrays_zip(*Span._fields[4:])
+    rows = spans.select(
+        *GROUP, "chunk", *Span._fields[:4], F.size("at_ts").alias("count"), F.posexplode(entry)
+    ).select(*GROUP, "chunk", *Span._fields[:4], "count", "pos", "col.*")
+    ordered = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "chunk", "pos")
+    return ordered.mapInArrow(walk_batches(policy), START_SCHEMA)
+
+
+def walk_batches(policy: RollPolicy):
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, chunk, state, after, rolled = None, None, State(), State(), False
+        for batch in batches:
+            found = []
+            columns = {x: longs(batch, x) for x in (
+                "chunk", "first_ts", "last_ts", "total", "must_roll", "count", "pos", *Span._fields[4:]
+            )}
+            for key, begin, end in group_slices(batch):
+                edges = np.flatnonzero(np.diff(columns["chunk"][begin:end])) + begin + 1
+                for a, b in pairwise([begin, *edges.tolist(), end]):
+                    here = {x: int(columns[x][a]) for x in columns}
+                    if (key, here["chunk"]) != (current, chunk):
+                        state = after if key == current else State()
+                        current, chunk, rolled = key, here["chunk"], False
+                        after = state._replace(last=here["last_ts"], bytes=state.bytes + here["total"])
+                        found.append((*key, chunk, *state))
+                    if rolled:
+                        continue
+                    at = min(
+                        int(columns["at_ts"][a:b].searchsorted(state.open + policy.age_us)),
+                        int(columns["before"][a:b].searchsorted(policy.size - state.bytes, "right")),
+                    )
+                    if here["first_ts"] - state.last >= policy.idle_us:
+                        at = 0
+                    if here["must_roll"] and columns["pos"][b - 1] == here["count"] - 1:
+                        at = min(at, b - a - 1)
+                    if at < b - a:
+                        rolled = True
+                        opened, held, rolls = (
+                            int(columns[x][a + at]) for x in ("end_open", "end_bytes", "rolls")
+                        )
+                        after = State(opened, here["last_ts"], held, state.part + rolls)
+            columns = zip(*found) if found else [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.string() if n == 0 else pa.int64()) for n, x in enumerate(columns)],
+                names=[x.split()[0] for x in START_SCHEMA.split(", ")],
+            )
+
+    return walked
+
+
 def states_before(frame: pd.DataFrame, state: State, policy: RollPolicy) -> pd.DataFrame:
     found = []
     for row in frame.sort_values("chunk").itertuples(index=False):

@@ -73,10 +73,50 @@ def test_a_hot_hour_over_many_chunks(spark, policy):
 
 def test_folding_in_several_levels(spark):
     rows, policy = hot_rows(), RollPolicy(30, 4.9, 2500)
-    got = assigned(frame(spark, rows), policy, 2, chunk_rows=250, fold_rows=1)
+    got = assigned(frame(spark, rows), policy, 2, chunk_rows=250, fold_rows=500)
     assert got == expected(rows, policy, 2)
 
 
+@pytest.mark.parametrize("policy", POLICIES, ids=str)
+def test_spans_too_long_to_compose_are_walked_in_order(spark, policy):
+    rows = hot_rows()
+    df = frame(spark, rows)
+    assert assigned(df, policy, 1, chunk_rows=130, fold_rows=1) == expected(rows, policy, 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = assigned(df, policy, 2, chunk_rows=400, fold_rows=1)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == expected(rows, policy, 2)
+
+
+def test_no_task_composes_more_than_the_bound(spark, tmp_path, monkeypatch):
+    """An hour of many rows and no size limit: what tasks compose stays within ``fold_rows``."""
+
+    def measured(make):
+        def made(policy, fan):
+            work = make(policy, fan)
+
+            def run(rows):
+                held = sum(len(x) for x in rows["at_ts"])
+                (tmp_path / f"{held}").touch()
+                return work(rows)
+
+            return run
+
+        return made
+
+    monkeypatch.setattr(parts, "compose_all", measured(parts.compose_all))
+    rng, us, rows = random.Random(3), BASE, []
+    for i in range(30_000):
+        us += rng.randrange(1, 200_000)
+        rows.append((i, us, "hot", rng.randint(1, 90)))
+    for policy in (RollPolicy(1800, None, None), RollPolicy(7200, None, None), RollPolicy(None, None, 1 << 27)):
+        got = assigned(frame(spark, rows), policy, 1, chunk_rows=500, fold_rows=4000)
+        assert got == expected(rows, policy, 1)
+    assert max([int(x.name) for x in tmp_path.iterdir()], default=0) <= 4000
+
+
 def test_chunks_smaller_than_a_part(spark):
     rows, policy = hot_rows(1200), RollPolicy(3000, None, 40_000)
     got = assigned(frame(spark, rows), policy, 1, chunk_rows=60, fold_rows=1)
