@@ -23,11 +23,13 @@ from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import keep, lower_case, number, session, slices
 
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 250_000
+CACHED_PARTS = 700_000
+MARKS = ".,;:!?%&$#*"
 LONGEST_CACHED = 64
 GROUP = 256  # words encoded together
 
@@ -47,6 +49,7 @@ class Tokens:
 
         self.encoder = Tokenizer.from_file(vocabulary)
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
         self.ends_word = np.zeros(self.encoder.get_vocab_size(), bool)
         self.ends_word[[i for x, i in self.encoder.get_vocab().items() if x.endswith("</w>")]] = True
 
@@ -73,10 +76,31 @@ class Tokens:
         return found
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of each chunk. Chunks of letters are single words to the vocabulary and are
-        encoded many at a time: each ends at the one token that ends a word."""
+        """Ids of each chunk. Marks after a word are words of their own to the vocabulary, so what
+        is encoded are the few words and marks that many chunks are made of."""
         texts = b"\n".join(chunks).decode("utf-8", "replace").split("\n") if chunks else []
-        out = [b""] * len(chunks)
+        pairs = []
+        for text in texts:
+            word = text.rstrip(MARKS)
+            pairs.append((word, text[len(word) :]) if word.isalpha() and word.lower().isalpha()
+                         else (text, ""))
+        parts = self.parts
+        new = {x for pair in pairs for x in pair if x not in parts}
+        if len(parts) + len(new) > CACHED_PARTS:
+            self.parts = parts = {"": b""}
+            new = {x for pair in pairs for x in pair if x}
+        found = list(new)
+        parts.update(zip(found, self.encode_parts(found)))
+        out = [parts[word] + parts[marks] for word, marks in pairs]
+        for x in found:
+            if len(x) > LONGEST_CACHED:
+                del parts[x]
+        return out
+
+    def encode_parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Those of letters are single words to the vocabulary and are encoded
+        many at a time: each ends at the one token that ends a word."""
+        out = [b""] * len(texts)
         words = [i for i, x in enumerate(texts) if x.isalpha()]
         alone = [i for i, x in enumerate(texts) if not x.isalpha()]
         groups = [words[a : a + GROUP] for a in range(0, len(words), GROUP)]
@@ -106,7 +130,7 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = 2048, closing: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.of(vocabulary)
         yield from cut_up(batches, tokens)
-        tokens.known = {b"": b""}  # the worker lives on; its memory is for others now
+        tokens.known = {b"": b""}  # the worker lives on; its words stay for the next task
 
     def cut_up(batches: Iterator[pa.RecordBatch], tokens: Tokens) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, lambda _: []):
@@ -224,8 +248,12 @@ def ranges(plan: list[tuple[dict[int, int], int]]) -> list[tuple[int, ...]]:
     return out
 
 
-def pack(parts: DataFrame, window: int = 2048, unit: int = 16) -> DataFrame:
-    """The columns of ``parts`` with ``sequence_id`` and ``offset``."""
+def pack(
+    parts: DataFrame, window: int = 2048, unit: int = 16, salt: Column | None = None
+) -> DataFrame:
+    """The columns of ``parts`` with ``sequence_id`` and ``offset``. ``salt`` spreads the pieces
+    of a length over tasks; by default copies of a piece stay together."""
+    columns = [c for c in parts.columns if c != "_spread"]
     spark = parts.sparkSession
     units = window // unit
     sized = parts.withColumn("_size", F.ceil(F.col("length") / unit).cast("int"))
@@ -238,7 +266,8 @@ def pack(parts: DataFrame, window: int = 2048, unit: int = 16) -> DataFrame:
     )
     ids = ["doc_id", "start", "ids_crc32"]
     ranked = number(
-        sized, ["_size"], F.xxhash64(*ids), ids, "_rank", int(histogram.max(initial=0))
+        sized, ["_size"], F.xxhash64(*ids) if salt is None else salt, ids, "_rank",
+        int(histogram.max(initial=0)),
     )
     # The list of ranges is bounded by the number of sizes, not by the table.
     inside = (F.col("_size") == F.col("size")) & (F.col("_rank") >= F.col("first")) & (
@@ -246,7 +275,7 @@ def pack(parts: DataFrame, window: int = 2048, unit: int = 16) -> DataFrame:
     )
     past = F.col("_rank") - F.col("first")
     placed = ranked.join(F.broadcast(places), inside).select(
-        *parts.columns,
+        *columns,
         (F.col("sequence") + F.floor(past / F.col("each"))).alias("sequence_id"),
         (F.col("slot") + past % F.col("each")).alias("_slot"),
     )
@@ -254,11 +283,14 @@ def pack(parts: DataFrame, window: int = 2048, unit: int = 16) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow
     )
     return placed.select(
-        *parts.columns, "sequence_id", (F.sum("length").over(before) - F.col("length")).alias("offset")
+        *columns, "sequence_id", (F.sum("length").over(before) - F.col("length")).alias("offset")
     )
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, window: int = 2048) -> DataFrame:
     """Tokenise and pack: one row per piece."""
     session(docs.sparkSession)
-    return pack(keep(pieces(docs, vocabulary, window), "pieces"), window)
+    parts = keep(pieces(docs, vocabulary, window), "pieces")
+    # A written row has a place of its own, so copies of a document spread like other rows.
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    return pack(parts.select("*", place.alias("_spread")), window, salt=F.col("_spread"))
