@@ -46,7 +46,7 @@ class Settings:
     hidden: int = 12  # states of each direction
     attention: int = 12
     window: int = 48
-    sample: int = 10000  # labelled rows to train on, at most
+    sample: int = 7000  # labelled rows to train on, at most
     windows: int = 8  # of each of them, at most
     common: int = 3  # texts of the sample a word must be in to have its own vector
     trial: int = 6  # one in so many texts of the sample tells when to stop
