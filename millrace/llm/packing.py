@@ -130,7 +130,8 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = 2048, closing: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.of(vocabulary)
         yield from cut_up(batches, tokens)
-        tokens.known = {b"": b""}  # the worker lives on; its words stay for the next task
+        # The worker lives on; its memory is for others now.
+        tokens.known, tokens.parts = {b"": b""}, {"": b""}
 
     def cut_up(batches: Iterator[pa.RecordBatch], tokens: Tokens) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, lambda _: []):
