@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import number, session
+from millrace.llm.common import keep, number, session
 
 # Fixed values of the published algorithm.
 MULTIPLIER = 2862933555777941757
@@ -64,8 +64,9 @@ def shard(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "t
     )
     rows = rows.withColumns({"shard": jump(F.col("_key"), shards),
                              "grown_shard": jump(F.col("_key"), shards + 1)})
-    numbered = number(
-        rows, ["shard"], F.xxhash64("_key", "text_crc32", "size"), ["_key", "text_crc32", "size"],
-        "slot", -(-docs.count() // shards),
-    )
-    return numbered.drop("_key")
+    # A written row has a place of its own, so copies of a row spread like other rows.
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    placed = keep(rows.drop("_key"), "placed").select("*", place.alias("_place"))
+    largest = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 0  # one row
+    numbered = number(placed, ["shard"], F.col("_place"), ["_place"], "slot", largest)
+    return numbered.drop("_place")

@@ -125,7 +125,7 @@ def _candidates(part, width: int, block: int, index: np.ndarray, hit: np.ndarray
 def _settle(held: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     """Windows of a task: those of documents that are not the smallest here are done (kind 1,
     to the bucket of their document), the others are asked about (kind 0)."""
-    hashes, docs, places = (np.concatenate(x) for x in zip(*held))
+    hashes, docs, places = _once(*(np.concatenate(x) for x in zip(*held)))
     larger = _larger(hashes, docs)
     for kind, which in ((1, larger), (0, ~larger)):
         some = hashes[which], docs[which], places[which]
@@ -136,6 +136,14 @@ def _settle(held: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
         yield from _scatter(kind, bucket, *some, buckets)
 
 
+def _once(hashes: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Copies of a row share its id and key, and each of its windows counts once."""
+    order = np.lexsort((places, docs))
+    docs, places = docs[order], places[order]
+    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (places[1:] != places[:-1])])
+    return hashes[order][new], docs[new], places[new]
+
+
 def _bucket_of(docs: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(docs.view(np.uint64) * ODD_1) % U(buckets)).astype(np.int64)
 
@@ -217,7 +225,7 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
                                  np.frombuffer(x["docs"], np.int64),
                                  np.frombuffer(x["places"], np.uint64)))
         if held:
-            hashes, docs_, places = (np.concatenate(x) for x in zip(*held))
+            hashes, docs_, places = _once(*(np.concatenate(x) for x in zip(*held)))
             gone = _larger(hashes, docs_)
             for x in _scatter(1, _bucket_of(docs_[gone], buckets), hashes[gone], docs_[gone],
                               places[gone], buckets):

@@ -276,9 +276,15 @@ def _grouped(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _done(keys, starts, ends, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Removed stretches, packed for the bucket of their text."""
+    """Removed stretches, packed for the bucket of their text. Copies of a row share its key, and
+    what they share is sent once."""
     if not len(keys):
         return
+    order = np.lexsort((ends, starts, keys))
+    keys, starts, ends = keys[order], starts[order], ends[order]
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (starts[1:] != starts[:-1])
+                          | (ends[1:] != ends[:-1])])
+    keys, starts, ends = keys[new], starts[new], ends[new]
     order, used, at = _grouped((mix(keys.view(np.uint64)) % U(buckets)).astype(np.int64), buckets)
     none = pa.array([b""] * len(used), pa.binary())
     yield table({"bucket": used, "kind": [1] * len(used), "keys": binary_list(keys[order], at),
