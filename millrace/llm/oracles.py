@@ -173,38 +173,47 @@ FROM final"""
 def quality_rules(rules: Rules = Rules()) -> str:
     """Counts, sketches of logarithmic cells, limits and verdicts."""
     each = " UNION ALL ".join(
-        f"SELECT lang, source, '{m}' AS measure, {c} * 1000.0 / greatest(n_words, 1) AS v "
+        f"SELECT lang, source, '{name}' AS measure, {m.count} * 1000.0 / greatest({m.of}, 1) AS v "
         "FROM measured WHERE n_words > 0"
-        for m, (c, _) in MEASURES.items()
+        for name, m in MEASURES.items()
     )
 
-    def quantiles(keys: str) -> str:
+    def quartiles(keys: str, rows: str) -> str:
         part = f"{keys}, " if keys else ""
         at = ", ".join(
-            f"min(CASE WHEN upto >= n * {q} THEN CASE WHEN cell = 0 THEN 0.0 "
-            f"ELSE exp(cell / 100.0) END END) AS q{int(q * 100)}"
-            for q in (0.25, 0.5, 0.75)
+            f"min(CASE WHEN upto >= n * {q} THEN cell END) AS c{int(q * 100)}" for q in (0.25, 0.5, 0.75)
         )
         return f"""
-  SELECT {part}measure, n, {at} FROM (
+  SELECT {part}measure, {at} FROM (
     SELECT {part}measure, cell, sum(rows) OVER (PARTITION BY {part}measure) AS n,
            sum(rows) OVER (PARTITION BY {part}measure ORDER BY cell ROWS UNBOUNDED PRECEDING) AS upto
-    FROM (SELECT {part}measure, cell, sum(rows) AS rows FROM sketch GROUP BY {part}measure, cell)
-  ) GROUP BY {part}measure, n"""
+    FROM (SELECT {part}measure, cell, sum(rows) AS rows FROM ({rows}) GROUP BY {part}measure, cell)
+  ) GROUP BY {part}measure"""
 
-    def pick(q: str) -> str:
-        return (f"CASE WHEN o.n >= {rules.min_rows} THEN o.{q} "
-                f"WHEN l.n >= {rules.min_rows} THEN l.{q} ELSE e.{q} END AS {q}")
+    def lent(keys: str, wider: str, same: str) -> str:
+        return f"""
+    SELECT {keys}, cell, rows FROM sketch UNION ALL
+    SELECT s.*, unnest([c25, c50, c75]) AS cell, {rules.borrowed} AS rows
+    FROM (SELECT DISTINCT {keys} FROM sketch) s JOIN {wider} w ON s.measure = w.measure{same}"""
+
+    def value(c: str) -> str:
+        return f"(CASE WHEN {c} = 0 THEN 0.0 ELSE exp({c} / 100.0) END)"
 
+    slack = "CASE measure " + " ".join(f"WHEN '{x}' THEN {m.slack}" for x, m in MEASURES.items()) + " END"
     tests = []
-    for m, (c, bad) in MEASURES.items():
-        share, more = f"{c} * 1000.0 / greatest(n_words, 1)", "0.0" if m == "symbols" else "stray"
-        low = f"max(CASE WHEN measure = '{m}' THEN low END)"
-        high = f"max(CASE WHEN measure = '{m}' THEN high END)"
-        if bad in ("low", "both"):
-            tests.append((f"{low} AS {m}_low", f"{share} + {more} >= coalesce({m}_low, 0)"))
-        if bad in ("high", "both"):
-            tests.append((f"{high} AS {m}_high", f"{share} - {more} <= coalesce({m}_high, 'inf'::DOUBLE)"))
+    for name, m in MEASURES.items():
+        n = f"greatest({m.of}, 1)"
+        share = f"{m.count} * 1000.0 / {n}"
+        for side, sign, op, none in (("low", "+", ">=", "0"), ("high", "-", "<=", "'inf'::DOUBLE")):
+            if m.bad not in (side, "both"):
+                continue
+            edge = f"coalesce({name}_{side}, {none})"
+            p = f"(least({edge}, 1000.0) / 1000.0)"
+            more = "0.0" if m.bad != "both" else f"{rules.mean_error} / sqrt({n})"
+            if m.run:
+                more = f"{1000 * rules.share_error} * sqrt({p} * (1 - {p}) * {m.run} / {n})"
+            tests.append((f"max(CASE WHEN measure = '{name}' THEN {side} END) AS {name}_{side}",
+                          f"{share} {sign} {more} {op} {edge}"))
     columns, inside = ", ".join(x for x, _ in tests), " AND ".join(x for _, x in tests)
     return f"""
 WITH docs AS (
@@ -221,7 +230,7 @@ repeats AS (
   ) GROUP BY r
 ),
 lines AS (
-  SELECT r, count(*) - count(DISTINCT line) AS n
+  SELECT r, count(*) - count(DISTINCT line) AS n, count(*) AS full_lines
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '{WHITE}') GROUP BY r
 ),
@@ -229,7 +238,7 @@ measured AS (
   SELECT r, doc_id, lang, source, len(w) AS n_words,
          length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
-         coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+         coalesce(lines.n, 0) AS n_dup_lines, coalesce(full_lines, 0) AS n_lines, coalesce(repeats.n, 0) AS n_repeat_words
   FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
 ),
 sketch AS (
@@ -237,23 +246,18 @@ sketch AS (
          CAST(CASE WHEN v < 1 THEN 0 ELSE ceil(ln(v) * 100) END AS INTEGER) AS cell, count(*) AS rows
   FROM ({each}) GROUP BY ALL
 ),
-o AS ({quantiles("lang, source")}),
-l AS ({quantiles("lang")}),
-e AS ({quantiles("")}),
-picked AS (
-  SELECT o.lang, o.source, o.measure, {pick("q25")}, {pick("q50")}, {pick("q75")}
-  FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure
-  JOIN e ON o.measure = e.measure
-),
+e AS ({quartiles("", "SELECT * FROM sketch")}),
+l AS ({quartiles("lang", lent("lang, measure", "e", ""))}),
+o AS ({quartiles("lang, source", lent("lang, source, measure", "l", " AND s.lang IS NOT DISTINCT FROM w.lang"))}),
 limits AS (
   SELECT lang, source, {columns} FROM (
     SELECT lang, source, measure,
-           q50 + {rules.spread} * (q75 - q50) + {rules.slack} AS high,
-           q50 - {rules.spread} * (q50 - q25) - {rules.slack} AS low FROM picked
+           {value("c50")} + {rules.spread} * ({value("c75")} - {value("c50")}) + {slack} AS high,
+           {value("c50")} - {rules.spread} * ({value("c50")} - {value("c25")}) - {slack} AS low FROM o
   ) GROUP BY lang, source
 ),
 judged AS (
-  SELECT m.*, x.* EXCLUDE (lang, source), {rules.noise} / sqrt(greatest(n_words, 1)) AS stray,
+  SELECT m.*, x.* EXCLUDE (lang, source),
          n_words < {rules.min_words}
            OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed
   FROM measured m LEFT JOIN limits x

@@ -4,8 +4,11 @@ Every text gets a few measures. Their distributions are kept per language and so
 sketches: counts of logarithmic cells one hundredth wide, so a sketch is a bounded table of
 integers, two sketches are merged by adding counts, and a quantile is off by one cell at
 most. Limits are read from the sketches: median plus a multiple of the spread of the middle
-half. A language and source with few rows borrows the sketch of its language, and that one
-the sketch of everything. The limits are joined back and rows outside of them are dropped.
+half. Every language and source borrows a fixed number of rows from its language, and that one
+from everything: they stand at the quartiles of the wider sketch, so they are the whole of a
+group without rows and nothing to a large one, and limits move smoothly as a group grows. The
+limits are joined back and rows outside of them are dropped. A share over few words or lines
+strays by chance, so a text may exceed a limit by the sampling error of a share that size.
 
 Defined results: a null text has no words; null languages and sources form groups of their
 own; repeated rows are judged alike; an empty table gives an empty result.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +31,25 @@ from millrace.llm.common import (
 SYMBOLS = b"#*$%&|<>"
 _NOT_POINTS = WHITE + bytes(range(0x80, 0xC0))
 
-COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 _COUNT_SCHEMA = [pa.field(x.split()[0], pa.int64()) for x in COUNTS.split(", ")]
 
-# Measures in thousandths and whether a low value, a high value or either is bad.
+
+class Measure(NamedTuple):
+    """A count per word or line, in thousandths."""
+
+    count: str
+    of: str
+    bad: str  # whether a low value, a high value or both is bad
+    slack: int  # thousandths a limit always leaves above or below
+    run: int  # words or lines that come together, of which a share is one observation
+
+
 MEASURES = {
-    "word_length": ("word_chars", "both"),
-    "symbols": ("n_symbols", "high"),
-    "dup_lines": ("n_dup_lines", "high"),
-    "repeats": ("n_repeat_words", "high"),
+    "word_length": Measure("word_chars", "n_words", "both", 100, 0),
+    "symbols": Measure("n_symbols", "n_words", "high", 100, 0),
+    "dup_lines": Measure("n_dup_lines", "n_lines", "high", 50, 1),
+    "repeats": Measure("n_repeat_words", "n_words", "high", 80, 9),
 }
 
 
@@ -46,9 +60,9 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
     spread: float = 6.0  # half-spreads from the median to a limit
-    slack: int = 100  # thousandths a limit always leaves above or below
-    noise: int = 8000  # more of it for short texts: over the root of their words
-    min_rows: int = 200  # rows a language and source needs for limits of its own
+    mean_error: int = 8000  # thousandths a mean length strays, over the root of its words
+    share_error: float = 3.5  # sampling errors a share may exceed its limit by
+    borrowed: int = 10  # rows borrowed at each quartile of the wider sketch
     salts: int = 32
 
 
@@ -70,16 +84,17 @@ def measure(docs: DataFrame, text: str = "text", *columns: str) -> DataFrame:
             covered = np.zeros(len(hashes), np.int64)
             for i in range(3):
                 covered[at[twice] + i] = 1
-            chars, symbols, dups = [], [], []
+            chars, symbols, dups, full = [], [], [], []
             for x in part.texts:
                 chars.append(len(x.translate(None, _NOT_POINTS)))
                 symbols.append(len(x) - len(x.translate(None, SYMBOLS)))
                 lines = [y for y in x.split(b"\n") if y.strip()]
                 dups.append(len(lines) - len(set(lines)))
+                full.append(len(lines))
             kept = part.batch.select(list(columns))
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *(pa.array(x, pa.int64()) for x in
-                 (counts, chars, symbols, dups, per_row(covered, part.bounds)))],
+                 (counts, chars, symbols, dups, per_row(covered, part.bounds), full))],
                 schema=pa.schema([*kept.schema, *_COUNT_SCHEMA]),
             )
 
@@ -96,16 +111,16 @@ def value_of(cell_: Column) -> Column:
     return F.when(cell_ == 0, F.lit(0.0)).otherwise(F.exp(cell_ / 100.0))
 
 
-def thousandths(count: str) -> Column:
-    return F.col(count) * 1000.0 / F.greatest(F.col("n_words"), F.lit(1))
+def thousandths(m: Measure) -> Column:
+    return F.col(m.count) * 1000.0 / F.greatest(F.col(m.of), F.lit(1))
 
 
 def sketches(measured: DataFrame) -> DataFrame:
     """``lang, source, measure, cell, rows``. Added up on the map side, so a hot source sends
     a few thousand numbers from each task."""
     each = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("measure"), cell(thousandths(c)).alias("cell"))
-        for m, (c, _) in MEASURES.items()
+        F.struct(F.lit(name).alias("measure"), cell(thousandths(m)).alias("cell"))
+        for name, m in MEASURES.items()
     ])).alias("m")
     return (
         measured.filter("n_words > 0")
@@ -120,53 +135,62 @@ def merge(sketch: DataFrame, *groups: str) -> DataFrame:
     return sketch.groupBy(*groups, "measure", "cell").agg(F.sum("rows").alias("rows"))
 
 
-def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """``groups, measure, n, q25, q50, q75`` of each sketch."""
+def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """``groups, measure, cells``: where a quarter, half and three quarters of the rows of each
+    sketch end."""
     group = Window.partitionBy(*groups, "measure")
     upto = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sketch.withColumn("upto", F.sum("rows").over(upto)).withColumn(
-        "n", F.sum("rows").over(group)
-    )
-
-    def at(q: float) -> Column:
-        return value_of(F.min(F.when(F.col("upto") >= F.col("n") * q, F.col("cell"))))
-
-    return ranked.groupBy(*groups, "measure", "n").agg(
-        at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75")
+    ranked = sketch.select(
+        *groups, "measure", "cell",
+        F.sum("rows").over(upto).alias("upto"), F.sum("rows").over(group).alias("n"),
+    )
+    return ranked.groupBy(*groups, "measure").agg(F.array(*[
+        F.min(F.when(F.col("upto") >= F.col("n") * q, F.col("cell"))) for q in (0.25, 0.5, 0.75)
+    ]).alias("cells"))
+
+
+def borrow(sketch: DataFrame, groups: list[str], wider: DataFrame, shared: list[str], rules: Rules) -> DataFrame:
+    """Each group's sketch with ``borrowed`` rows at each quartile of the wider one it is part of."""
+    fine = sketch.select(*groups, "measure").distinct().alias("fine")
+    same = F.col("fine.measure") == F.col("wider.measure")
+    for c in shared:
+        same &= F.col(f"fine.{c}").eqNullSafe(F.col(f"wider.{c}"))
+    lent = fine.join(wider.alias("wider"), same).select(
+        "fine.*", F.explode("wider.cells").alias("cell"), F.lit(rules.borrowed).cast("long").alias("rows")
     )
+    return sketch.unionByName(lent)
 
 
 def limits(sketch: DataFrame, rules: Rules) -> DataFrame:
     """``lang, source`` and a low and a high limit of every measure."""
-    own = quantiles(sketch, ["lang", "source"])
-    lang = quantiles(merge(sketch, "lang"), ["lang"])
-    every = quantiles(merge(sketch), [])
-    cols = ["n", "q25", "q50", "q75"]
-    wide = own.alias("o").join(
-        lang.alias("l"),
-        F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.measure") == F.col("l.measure")),
-    ).join(F.broadcast(every).alias("e"), F.col("o.measure") == F.col("e.measure"))
-
-    def pick(c: str) -> Column:
-        return (
-            F.when(F.col("o.n") >= rules.min_rows, F.col(f"o.{c}"))
-            .when(F.col("l.n") >= rules.min_rows, F.col(f"l.{c}"))
-            .otherwise(F.col(f"e.{c}"))
-        )
-
-    picked = wide.select("o.lang", "o.source", "o.measure", *[pick(c).alias(c) for c in cols[1:]])
-    high = F.col("q50") + rules.spread * (F.col("q75") - F.col("q50")) + rules.slack
-    low = F.col("q50") - rules.spread * (F.col("q50") - F.col("q25")) - rules.slack
-    return picked.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("measure") == m, edge)).alias(f"{m}_{side}")
-        for m, (_, bad) in MEASURES.items()
+    every = quartiles(merge(sketch), [])
+    lang = quartiles(borrow(merge(sketch, "lang"), ["lang"], every, [], rules), ["lang"])
+    own = quartiles(borrow(sketch, ["lang", "source"], lang, ["lang"], rules), ["lang", "source"])
+    first, middle, third = (value_of(F.get("cells", F.lit(i))) for i in range(3))
+    slack = F.element_at(F.create_map(*[
+        F.lit(x) for name, m in MEASURES.items() for x in (name, m.slack)
+    ]), F.col("measure"))
+    high = middle + rules.spread * (third - middle) + slack
+    low = middle - rules.spread * (middle - first) - slack
+    return own.groupBy("lang", "source").agg(*[
+        F.max(F.when(F.col("measure") == name, edge)).alias(f"{name}_{side}")
+        for name, m in MEASURES.items()
         for side, edge in (("low", low), ("high", high))
-        if bad in (side, "both")
+        if m.bad in (side, "both")
     ])
 
 
+def beyond(m: Measure, high: Column, rules: Rules) -> Column:
+    """Thousandths a text may lie beyond a limit by chance."""
+    n = F.greatest(F.col(m.of), F.lit(1))
+    if m.run:
+        share = F.least(high, F.lit(1000.0)) / 1000.0
+        return 1000 * rules.share_error * F.sqrt(share * (1 - share) * m.run / n)
+    return rules.mean_error / F.sqrt(n) if m.bad == "both" else F.lit(0.0)
+
+
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``doc_id``, the counts, the limits that held, ``base_failed`` and ``kept``."""
+    """``doc_id``, the counts, ``base_failed``, ``kept``, ``n_lines`` and the limits that held."""
     session(docs.sparkSession)
     measured = keep(measure(docs, "text", "doc_id", "lang", "source"), "measured")
     # The limits of a hot source go to many tasks: they are repeated once per salt.
@@ -184,20 +208,19 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "left",
     )
     inside = F.lit(True)
-    # A share or mean over few words strays from the middle of its kind by chance.
-    stray = rules.noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
-    for m, (c, bad) in MEASURES.items():
-        more = F.lit(0.0) if m == "symbols" else stray
-        if bad in ("low", "both"):
-            inside &= thousandths(c) + more >= F.coalesce(F.col(f"{m}_low"), F.lit(0.0))
-        if bad in ("high", "both"):
-            inside &= thousandths(c) - more <= F.coalesce(F.col(f"{m}_high"), F.lit(float("inf")))
+    for name, m in MEASURES.items():
+        if m.bad in ("low", "both"):
+            low = F.coalesce(F.col(f"{name}_low"), F.lit(0.0))
+            inside &= thousandths(m) + beyond(m, low, rules) >= low
+        if m.bad in ("high", "both"):
+            high = F.coalesce(F.col(f"{name}_high"), F.lit(float("inf")))
+            inside &= thousandths(m) - beyond(m, high, rules) <= high
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     )
-    edges = [f"{m}_{s}" for m, (_, bad) in MEASURES.items() for s in ("low", "high")
-             if bad in (s, "both")]
+    edges = [f"{name}_{s}" for name, m in MEASURES.items() for s in ("low", "high")
+             if m.bad in (s, "both")]
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & inside).alias("kept"), *edges,
+        failed.alias("base_failed"), (~failed & inside).alias("kept"), "n_lines", *edges,
     )
