@@ -302,11 +302,11 @@ def longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).cast(pa.int64()).to_numpy()
 
 
-def group_slices(batch: pa.RecordBatch):
+def group_slices(batch: pa.RecordBatch, names: list[str] = GROUP):
     """Runs of rows of one group in a sorted batch: key, begin, end."""
     if batch.num_rows == 0:
         return
-    keys = [batch.column(name) for name in GROUP]
+    keys = [batch.column(name) for name in names]
     change = np.zeros(batch.num_rows - 1, bool)
     for key in keys:
         change |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)

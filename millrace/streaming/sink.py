@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.functions.records import MAX_LINE_BYTES
-from millrace.operators.parts import assign_parts
+from millrace.operators.parts import GROUP, assign_parts, group_slices
 from millrace.operators.policy import RollPolicy
 from millrace.sources.generator import LiveRecords
 from millrace.sources.tables import CSV_OPTIONS, guarded
 
+PLACE = [*GROUP, "part"]
+# Characters that a directory name of a partition spells by their codes, as Spark does.
+_SPELLED = {c: f"%{c:02X}" for c in [*range(1, 32), 127, *map(ord, "\"#%'*/:=?\\{[]^")]}
+
 
 def by_bucket(records: DataFrame, spread: bool) -> DataFrame:
     """The two columns a text table takes.
@@ -87,17 +97,78 @@ def write_parts(
     ``root/bucket=<hour>/subtask=<n>/part=<n>/``.
 
     A part's lines meet in one task, which streams them to its file in order of instant and
-    index; parts, not hours, are dealt out, so a hot hour is the work of many tasks.
+    index; parts, not hours, are dealt out, so a hot hour is the work of many tasks. ``root``
+    must not be there yet.
+
+    In a folder of the machine, or one mounted on all of them, tasks write the files themselves:
+    Hadoop's local file system starts two processes for every file it makes, which for small
+    parts takes far longer than all the rest. Other file systems get them from Spark's writer.
     """
-    place = ["bucket", "subtask", "part"]
     assigned = assign_parts(records, policy, parallelism, keep=["foams"], **options)
-    (
-        assigned.repartition(*place)
-        .sortWithinPartitions(*place, "ts", "index")
-        .select("foams", *place)
-        .write.partitionBy(*place)
-        .text(root)
+    rows = (
+        assigned.repartition(*PLACE)
+        .sortWithinPartitions(*PLACE, "ts", "index")
+        .select("foams", *PLACE)
     )
+    path = records.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(records.sparkSession._jsc.hadoopConfiguration())
+    if files.getUri().getScheme() == "file":
+        _write_local(rows, files, files.makeQualified(path))
+    else:
+        rows.write.partitionBy(*PLACE).text(root)
+
+
+def _write_local(rows: DataFrame, files, root) -> None:
+    """Files are made in a hidden folder beside ``root``, which gets its name when all are done:
+    a job that fails leaves nothing."""
+    if files.exists(root):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {root} already exists.")
+    jvm = rows.sparkSession._jvm.org.apache.hadoop.fs
+    staged = jvm.Path(root.getParent(), f".{root.getName()}-{uuid.uuid4().hex}")
+    lines = rows.withColumn("foams", F.col("foams").cast("binary"))
+    try:
+        lines.mapInArrow(part_files(staged.toUri().getPath()), "files long").agg(F.sum("files")).first()
+        files.create(jvm.Path(staged, "_SUCCESS"), True).close()
+        if not files.rename(staged, root):
+            raise OSError(f"{staged} could not be renamed to {root}")
+    except BaseException:
+        files.delete(staged, True)
+        raise
+
+
+def part_files(root: str):
+    """Write the sorted lines of a task, one file for each part. A file gets its name when it is
+    whole, so a task that is run again only replaces it by the same."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, folder, out, count = None, "", None, 0
+        unfinished = f".{uuid.uuid4().hex}"
+
+        def finish() -> None:
+            if out is not None:
+                out.close()
+                os.replace(f"{folder}/{unfinished}", f"{folder}/part-0.txt")
+
+        for batch in batches:
+            lines = [x or b"" for x in batch.column("foams").to_pylist()]
+            for key, begin, end in group_slices(batch, PLACE):
+                if key != current:
+                    finish()
+                    current, folder = key, f"{root}/{part_folder(key)}"
+                    os.makedirs(folder, exist_ok=True)
+                    out, count = open(f"{folder}/{unfinished}", "wb"), count + 1
+                out.write(b"\n".join(lines[begin:end]) + b"\n")
+        finish()
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["files"])
+
+    return write
+
+
+def part_folder(key: tuple) -> str:
+    """``bucket=<hour>/subtask=<n>/part=<n>``, spelled as Spark spells it."""
+    texts = ["" if x is None else str(x) for x in key]
+    values = [x.translate(_SPELLED) or "__HIVE_DEFAULT_PARTITION__" for x in texts]
+    return "/".join(f"{name}={value}" for name, value in zip(PLACE, values))
 
 
 def export_csv(rows: DataFrame, path: str, mode: str = "error") -> None:
