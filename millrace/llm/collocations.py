@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import (
-    FILTER_BITS, PART_BITS, bucket_count, build_filter, hash_words, in_filter, keep, mix, pack_hashes,
+    FILTER_BITS, PART_BITS, bucket_count, build_filter, give_back, hash_words, in_filter, keep, mix, pack_hashes,
     row_key, session, slices, window_hashes,
 )
 
@@ -146,13 +146,18 @@ class Tally:
         """Ascending keys, counts and the other columns."""
         if not self.held:
             return tuple(np.empty(0, np.uint64) for _ in range(2 + self.columns))
-        columns = [np.concatenate(x) for x in zip(*self.held)]
-        order = np.argsort(columns[0], kind="stable")
-        keys = columns[0][order]
+        columns = [list(x) for x in zip(*self.held)]
+        self.held = []
+        keys, counts = (np.concatenate(columns.pop(0)) for _ in range(2))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        counts = np.add.reduceat(columns[1][order].astype(np.int64), first)
-        merged = (keys[first], counts, *(x[order[first]] for x in columns[2:]))
+        counts = np.add.reduceat(counts[order].astype(np.int64), first)
+        keys, order = keys[first], order[first]
+        # One column at a time, so that no second copy of all is held.
+        merged = (keys, counts, *(np.concatenate(columns.pop(0))[order] for _ in range(self.columns)))
         self.held, self.new, self.size = [merged], 0, len(first)
+        give_back()
         return merged
 
 
@@ -273,6 +278,7 @@ def names(texts: DataFrame, frequent: Sieve, buckets: int) -> DataFrame:
             if len(found) > HELD_WORDS:
                 yield packed(found, totals)
                 found, totals = {}, {}
+                give_back()
         yield packed(found, totals)
 
     def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,9 +481,10 @@ def collocations(docs: DataFrame, m: Mining = Mining()) -> DataFrame:
     listed = keep(names(texts, frequent, buckets), "names")
     words = listed.filter("word IS NOT NULL").drop("n").join(counts, "id")
     pairs = locally_frequent(texts, 2, frequent, needed, buckets, m.bits)
+    frequent.shared.destroy()
     triples = locally_frequent(texts, 3, pairs, needed, buckets, m.bits)
     found = keep(count_candidates(texts, pairs, triples, buckets, m), "phrases")
-    for sieve in (frequent, pairs, triples):
+    for sieve in (pairs, triples):
         sieve.shared.destroy()
     ranked = best(scored_phrases(found, words, m), m)
     totals = listed.filter("word IS NULL").select("lang", "n")
