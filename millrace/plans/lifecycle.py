@@ -222,8 +222,8 @@ def listing_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = rolled_table(spark, sf_dir)
     as_of = F.lit(f"{AS_OF}Z").cast("timestamp")
     return health.scorecard(
-        tables.scan_foreign(spark, root), tables.listed_parts(spark, root), as_of, FRESH_S,
-        FILE_POLICY.max_bytes + 82,
+        tables.in_longer_tasks(tables.scan_foreign(spark, root)), tables.listed_parts(spark, root),
+        as_of, FRESH_S, FILE_POLICY.max_bytes + 82,
     )
 
 

@@ -74,3 +74,12 @@ def test_a_job_that_fails_leaves_nothing(spark, tmp_path):
 def test_names_that_need_spelling():
     assert part_folder(("a/b:c", 1, 2)) == "bucket=a%2Fb%3Ac/subtask=1/part=2"
     assert part_folder((None, 0, 0)) == part_folder(("", 0, 0)) == "bucket=__HIVE_DEFAULT_PARTITION__/subtask=0/part=0"
+
+
+def test_many_small_pieces_are_read_in_fewer_tasks(spark):
+    least = 4 * spark.sparkContext.defaultParallelism
+    for pieces in (16 * least, least // 2):
+        rows = spark.range(0, 1000, 1, pieces)
+        packed = tables.in_longer_tasks(rows)
+        assert packed.rdd.getNumPartitions() == min(pieces, 2 * least)
+        assert packed.agg(F.sum("id")).first()[0] == 499_500
