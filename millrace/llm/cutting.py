@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import build_filter, in_filter, pack_hashes, slices
+from millrace.llm.common import build_filter, give_back, in_filter, pack_hashes, slices
 
 DOC_BITS = 24
 # Names that no table has.
@@ -35,14 +35,20 @@ def cut(
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield chosen(batch, True)
+            del batch
+        give_back()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices((chosen(b, False) for b in batches), lambda _: []):
             yield change(part.batch, part.texts, [None] * len(part.texts))
+            del part
+        give_back()
 
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, lambda _: []):
             yield change(part.batch, part.texts, part.batch.column(HELPERS[2]).to_pylist())
+            del part
+        give_back()
 
     found = runs.select(F.col("key").alias(_MET), F.col("runs").alias(HELPERS[2]))
     some = rows.mapInArrow(touched, rows.schema)

@@ -18,6 +18,9 @@ Stretches a task sees twice are settled there and only one is sent on. Anchors w
 ``HOT`` places, known from the counts, are not gathered as text at all: their windows are
 compared as hashes of all their bytes, which spread over all buckets.
 
+Workers serve task after task and those of other stages wait beside them, so each gives freed
+memory back when it is done, and a bucket sorts the suffixes of a few anchors at a time.
+
 Defined results: a null text has no bytes; rows with null or equal ids are texts of their own
 as long as their texts differ, and equal rows are equal texts at two places; an empty table
 gives an empty result.
@@ -34,8 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, ODD_2, U, binary_list, bucket_count, build_filter, in_filter, keep, mix, row_key,
-    session, slices, table, with_key,
+    ODD_1, ODD_2, U, binary_list, bucket_count, build_filter, give_back, in_filter, keep, mix,
+    row_key, session, slices, table, with_key,
 )
 from millrace.llm.cutting import cut
 
@@ -46,6 +49,8 @@ HOT_BITS = 24
 PIECE = 1 << 19  # texts are hashed in pieces of this size that overlap by a window
 LOT = 1 << 21  # pieces of a long text are looked at in lots of this size
 PLACE_BITS = 24  # of a place in the buffer of a lot
+SLICE = 1 << 17  # texts are looked at in slices of this size; each takes some 100 times as much
+SORT = 1 << 19  # suffixes that are sorted at a time, but for those of one anchor
 FLUSH_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
 
@@ -158,7 +163,11 @@ def deep_shallow(raw: bytes, starts: np.ndarray, groups: np.ndarray, depth: int)
     """Marks the suffixes ``raw[start:]`` that agree for ``depth`` bytes with another of their
     group. ``depth`` is a multiple of eight."""
     repeated = np.zeros(len(starts), bool)
-    view = np.ndarray((len(raw),), np.dtype(">u8"), raw + bytes(8), strides=(1,))
+    if not len(starts):
+        return repeated
+    if int(starts.max()) + depth > len(raw):
+        raw += bytes(depth)
+    view = np.ndarray((len(raw) - 7,), np.dtype(">u8"), raw, strides=(1,))
 
     def word(at: np.ndarray, level: int) -> np.ndarray:
         return view[at + 8 * level].astype(np.uint64)
@@ -216,8 +225,12 @@ def anchor_counts(docs: DataFrame, width: int, buckets: int) -> DataFrame:
     """``hashes, hot``: anchors with two places and more, and those with more than ``HOT``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from counted(batches)
+        give_back()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for part in slices(batches, lambda _: [], most=PIECE):
+        for part in slices(batches, lambda _: [], most=SLICE):
             for found in Pieces.lots(part.texts, width):
                 held.append(found.hash)
                 size += len(held[-1])
@@ -319,7 +332,10 @@ class _Held:
             size = np.array([len(r[3]) for r in rows], np.int64)
             start = np.array([r[5] for r in rows], np.int64)
             texts = [rows[i][3] for i in order.tolist()]
-            yield table({
+            text = pa.array([b"".join(texts[a:b]) for a, b in
+                             zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+            self.stretches, texts = {}, []
+            found = table({
                 "bucket": used, "kind": [0] * len(used),
                 "keys": binary_list(np.array([r[4] for r in rows], np.int64)[order], at),
                 "starts": binary_list(start[order], at),
@@ -327,9 +343,11 @@ class _Held:
                 "hashes": binary_list(anchors[order], at),
                 "before": binary_list(np.array([r[1] for r in rows], np.uint16)[order], at),
                 "many": binary_list(np.array([r[2] for r in rows], np.uint8)[order], at),
-                "text": pa.array([b"".join(texts[a:b]) for a, b in
-                                  zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()),
-            }, _SENT)
+                "text": text,
+            }, _SENT)
+            del rows, text
+            yield found
+            del found
         if self.windows:
             hashes, keys, starts = (np.concatenate(x) for x in zip(*self.windows))
             order = np.argsort(hashes, kind="stable")
@@ -351,14 +369,28 @@ class _Held:
             yield from _done(keys, starts, ends, buckets, _SENT)
 
 
+def _sort_lots(group: np.ndarray, windows: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts ascending groups into lots of about ``SORT`` windows; a group stays whole."""
+    if not len(group):
+        return
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+    upto = np.concatenate([[0], np.cumsum(windows)])[edges]
+    first = 0
+    while first < len(edges) - 1:
+        end = max(first + 1, int(np.searchsorted(upto, upto[first] + SORT, "right")) - 1)
+        yield int(edges[first]), int(edges[end])
+        first = end
+
+
 def _sort_bucket(rows: list[dict], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Removed stretches among those of a bucket: keys, starts and ends."""
+    """Removed stretches among those of a bucket: keys, starts and ends. Uses up the rows."""
     def column(name: str, kind) -> np.ndarray:
         return np.frombuffer(b"".join(r[name] for r in rows), kind)
 
     keys, starts, ends = (column(x, np.int64) for x in ("keys", "starts", "ends"))
     anchors, before = column("hashes", np.uint64), column("before", np.uint16).astype(np.int64)
-    many, raw = column("many", np.uint8) > 0, b"".join(r["text"] for r in rows)
+    many, raw = column("many", np.uint8) > 0, b"".join([r["text"] for r in rows])
+    rows.clear()
     size = ends - starts
     at = np.concatenate([[0], np.cumsum(size)])
     whole = np.array([xxhash.xxh64_intdigest(raw[a:b], int(c)) for a, b, c in
@@ -376,16 +408,17 @@ def _sort_bucket(rows: list[dict], width: int) -> tuple[np.ndarray, np.ndarray,
     _, group = np.unique(anchors[first], return_inverse=True)
     mixed = np.flatnonzero(np.bincount(group)[group] > 1)
     out = [(keys[all_[kind]], starts[all_[kind]], ends[all_[kind]])]
-    if len(mixed):
-        holder = first[mixed]
+    for a, b in _sort_lots(group[mixed], size[first[mixed]] - width + 1):
+        some = mixed[a:b]
+        holder = first[some]
         windows = size[holder] - width + 1
-        of = np.repeat(np.arange(len(mixed)), windows)
+        of = np.repeat(np.arange(len(some)), windows)
         step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
         # Windows are equal only if their anchor stands at the same place in them.
         offset = before[holder][of] - step
-        groups = group[mixed][of] * width + offset
+        groups = group[some][of] * width + offset
         found = deep_shallow(raw, at[holder][of] + step, groups, width)
-        found &= ~all_[mixed][of]
+        found &= ~all_[some][of]
         edge = np.ones(len(of), bool)
         edge[1:] = (of[1:] != of[:-1]) | (found[1:] != found[:-1])
         begin = np.flatnonzero(edge)
@@ -409,8 +442,12 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
     hot = context.broadcast(build_filter(counts.select(F.col("hot").alias("hashes")), HOT_BITS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from found_in(batches)
+        give_back()
+
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = _Held(width, buckets), np.frombuffer(again.value, np.uint8)
-        for part in slices(batches, lambda _: [], most=PIECE):
+        for part in slices(batches, lambda _: [], most=SLICE):
             row_keys = part.batch.column("row_key").to_numpy(zero_copy_only=False)
             for found in Pieces.lots(part.texts, width):
                 keys = row_keys[found.rows]
@@ -434,11 +471,16 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
                 if held.size >= FLUSH_BYTES:
                     yield from held.send()
                     held = _Held(width, buckets)
+                    give_back()
         yield from held.send()
 
     def compare(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
+        yield from compared(batches)
+        give_back()
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         windows: list[dict] = []
         for batch in batches:
@@ -464,6 +506,10 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
     def assemble(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
+        yield assembled(batches)
+        give_back()
+
+    def assembled(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         rows = [r for batch in batches for r in batch.to_pylist()]
         keys, starts, ends = (
             np.frombuffer(b"".join(r[x] for r in rows), np.int64) for x in ("keys", "starts", "ends")
@@ -481,7 +527,7 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
         runs = np.stack([starts[first], reach[last]], axis=1).ravel()
         text_first = np.flatnonzero(new_text)
         at = np.concatenate([np.searchsorted(first, text_first), [len(first)]]) * 2
-        yield table({"key": keys[text_first], "runs": binary_list(runs, at)}, _RUNS)
+        return table({"key": keys[text_first], "runs": binary_list(runs, at)}, _RUNS)
 
     return (
         with_key(docs, F.col("text").cast("binary").alias("text"))
