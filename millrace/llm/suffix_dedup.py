@@ -305,6 +305,17 @@ def _done(keys, starts, ends, buckets: int, schema: pa.Schema) -> Iterator[pa.Re
                  **{x: none for x in ("hashes", "before", "many", "text")}}, schema)
 
 
+def packed(text: bytes) -> bytes:
+    """Stretches as they are sent: neighbours of one text overlap, but lie in other buckets, so
+    what is sent is larger than the texts."""
+    return pa.compress(text, "zstd", asbytes=True)
+
+
+def unpacked(row: dict) -> bytes:
+    size = int((np.frombuffer(row["ends"], np.int64) - np.frombuffer(row["starts"], np.int64)).sum())
+    return pa.decompress(row["text"], size, "zstd", asbytes=True)
+
+
 class _Held:
     """What a task has found and not yet sent."""
 
@@ -332,7 +343,7 @@ class _Held:
             size = np.array([len(r[3]) for r in rows], np.int64)
             start = np.array([r[5] for r in rows], np.int64)
             texts = [rows[i][3] for i in order.tolist()]
-            text = pa.array([b"".join(texts[a:b]) for a, b in
+            text = pa.array([packed(b"".join(texts[a:b])) for a, b in
                              zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
             self.stretches, texts = {}, []
             found = table({
@@ -389,9 +400,9 @@ def _sort_bucket(rows: list[dict], width: int) -> tuple[np.ndarray, np.ndarray,
 
     keys, starts, ends = (column(x, np.int64) for x in ("keys", "starts", "ends"))
     anchors, before = column("hashes", np.uint64), column("before", np.uint16).astype(np.int64)
-    many, raw = column("many", np.uint8) > 0, b"".join([r["text"] for r in rows])
+    many, size = column("many", np.uint8) > 0, ends - starts
+    raw = b"".join([unpacked(r) for r in rows])
     rows.clear()
-    size = ends - starts
     at = np.concatenate([[0], np.cumsum(size)])
     whole = np.array([xxhash.xxh64_intdigest(raw[a:b], int(c)) for a, b, c in
                       zip(at[:-1].tolist(), at[1:].tolist(), before.tolist())], np.uint64)

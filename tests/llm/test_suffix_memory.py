@@ -22,7 +22,7 @@ def bucket(anchors: int, places: int) -> list[dict]:
             rows.append({**{k: np.array(v, np.int64).tobytes() for k, v in numbers.items()},
                          "hashes": np.array([a], np.uint64).tobytes(),
                          "before": np.array([136], np.uint16).tobytes(),
-                         "many": b"\0", "text": text})
+                         "many": b"\0", "text": suffix_dedup.packed(text)})
     return rows
 
 
@@ -44,10 +44,29 @@ def test_lots_give_what_one_sort_gives(monkeypatch):
 
 def test_a_bucket_takes_a_few_times_its_text():
     rows = bucket(8000, 3)  # 8 MB of text, 3.3 million suffixes
-    size = sum(len(r["text"]) for r in rows)
+    size = 336 * len(rows)
     tracemalloc.start()
     keys, _, _ = suffix_dedup._sort_bucket(rows, WIDTH)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(keys) == 12_000
     assert peak < 10 * size
+
+
+def test_stretches_are_sent_packed():
+    held = suffix_dedup._Held(WIDTH, 3)
+    words = [b"%d words of some kind " % i for i in range(200)]
+    rng = random.Random(5)
+    for i in range(600):
+        held.stretch(i, 0, b"".join(rng.choices(words, k=14)), i, 10)
+    texts = {text for _, _, text in held.stretches}
+    sent = [r for x in held.send() for r in x.to_pylist()]
+    assert sum(len(r["text"]) for r in sent) < sum(map(len, texts)) // 2
+    found = set()
+    for r in sent:
+        raw, at = suffix_dedup.unpacked(r), 0
+        for size in (np.frombuffer(r["ends"], np.int64) - 10).tolist():
+            found.add(raw[at : at + size])
+            at += size
+        assert at == len(raw)
+    assert found == texts
