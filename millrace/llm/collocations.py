@@ -12,6 +12,11 @@ shard. What the next pass needs to know of a level is a bit filter of fixed size
 more through when it is full and never hides a candidate; the support is checked on exact
 counts. Scores, cuts and ranks are DataFrame joins over the frequent phrases alone.
 
+What is sent is nearly a key for every place of the texts, so it is packed: the keys of a bucket
+ascend and only their steps are sent; levels are mined by the first bits of a key, as phrases
+that share them can only let more through; a candidate is sent as its words, of which
+the key follows, and the first two words of triples once for all of them.
+
 Defined results: a null or empty text has no words; a null language is ``und`` and joins
 documents that say so; repeated rows count as often as they stand; an empty table gives no
 phrases. Other columns are not looked at.
@@ -28,8 +33,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import (
-    FILTER_BITS, PART_BITS, bucket_count, build_filter, give_back, hash_words, in_filter, keep, mix, pack_hashes,
-    row_key, session, slices, window_hashes,
+    FILTER_BITS, ODD_1, PART_BITS, bucket_count, build_filter, give_back, hash_words, in_filter, keep, mix,
+    pack_hashes, row_key, session, slices, window_hashes,
 )
 
 # A-Z in lower case, every end of a piece as a full stop.
@@ -53,6 +58,7 @@ class Mining:
     most: int = 2000  # phrases listed for each language
     bits: int = FILTER_BITS  # of a filter, at most
     salts: int = 64
+    key_bits: int = 40  # of a key, by which levels are mined
 
 
 @dataclass
@@ -166,26 +172,55 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """64-bit numbers as they are sent: all their first bytes, then all second ones and so on, as
+    those of small numbers are alike."""
+    planes = (np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes() for x in columns)
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def unpacked(raw: pa.Scalar, *counts: int) -> list[np.ndarray]:
+    """The columns that :func:`packed` was given, by their lengths."""
+    whole = np.frombuffer(pa.decompress(raw.as_buffer(), 8 * sum(counts), "zstd"), np.uint8)
+    parts = np.split(whole, np.cumsum([8 * n for n in counts])[:-1])
+    return [np.ascontiguousarray(x.reshape(8, -1).T).view(np.uint64).ravel() for x in parts]
+
+
+def steps(keys: np.ndarray) -> np.ndarray:
+    """From each of some ascending keys to the next; their running sum has the keys again."""
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def edges_of(ascending: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin, and the end."""
+    if not len(ascending):
+        return np.zeros(1, np.int64)
+    changes = np.flatnonzero(ascending[1:] != ascending[:-1]) + 1
+    return np.concatenate([[0], changes, [len(ascending)]])
+
+
 def by_bucket(merged: tuple[np.ndarray, ...], buckets: int, first: int) -> pa.RecordBatch:
-    """A row for each bucket with the raw numbers of its keys; buckets count from ``first``."""
-    bucket = bucket_of(merged[0], buckets)
-    edges = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
-    sizes = pa.py_buffer((8 * edges).astype(np.int32))
-    raw = [pa.py_buffer(np.ascontiguousarray(x).view(np.int64)) for x in merged]
-    count = len(edges) - 1
+    """A row for each bucket with its keys and their counts; buckets count from ``first``."""
+    keys, counts = merged
+    bucket = bucket_of(keys, buckets)
+    edges = edges_of(bucket)
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[edges[:-1]] + first, pa.int64()),
-         *(pa.Array.from_buffers(pa.binary(), count, [None, sizes, x]) for x in raw)],
-        names=["bucket", *(f"c{i}" for i in range(len(raw)))],
+        [pa.array(bucket[edges[:-1]] + first, pa.int64()), pa.array(np.diff(edges), pa.int64()),
+         pa.array([packed(steps(keys[a:b]), counts[a:b])
+                   for a, b in zip(edges.tolist(), edges[1:].tolist())], pa.binary())],
+        names=["bucket", "n", "packed"],
     )
 
 
-def gathered(batches: Iterator[pa.RecordBatch], columns: int) -> tuple[np.ndarray, ...]:
-    tally = Tally(columns)
+SUMS = "bucket long, n long, packed binary"
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    tally = Tally()
     for batch in batches:
-        for row in zip(*(batch.column(f"c{i}") for i in range(2 + columns))):
-            keys, counts, *rest = (np.frombuffer(x.as_buffer(), np.uint64) for x in row)
-            tally.add(keys, counts.view(np.int64), rest)
+        for n, raw in zip(batch.column("n").to_pylist(), batch.column("packed")):
+            step, counts = unpacked(raw, n, n)
+            tally.add(np.cumsum(step), counts.view(np.int64))
     return tally.merge()
 
 
@@ -210,52 +245,68 @@ def frequent_words(texts: DataFrame, buckets: int, support: int) -> DataFrame:
         yield by_bucket(tally.merge(), buckets, 0)
 
     def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts = gathered(batches, 0)
+        ids, counts = gathered(batches)
         chosen = counts >= support
         yield pa.RecordBatch.from_arrays(
             [pa.array(x[chosen].view(np.int64)) for x in (ids, counts)], names=["id", "f"]
         )
 
-    sums = texts.mapInArrow(scan, "bucket long, c0 binary, c1 binary")
+    sums = texts.mapInArrow(scan, SUMS)
     return dealt(sums, buckets).groupBy("bucket").applyInArrow(add_up, "id long, f long")
 
 
 @dataclass
 class Sieve:
-    """A bit filter that tasks can see. Its size follows what it holds, up to a bound."""
+    """A bit filter that tasks can see. Its size follows what it holds, up to a bound. One of
+    short keys holds them mixed, as their last bits are 0."""
 
     shared: Broadcast
     bits: int
+    key_bits: int = 64
 
     @classmethod
-    def over(cls, hashed: DataFrame, count: int, most: int) -> "Sieve":
+    def over(cls, hashed: DataFrame, count: int, most: int, key_bits: int = 64) -> "Sieve":
         bits = min(most, max(PART_BITS, (16 * count).bit_length()))
-        return cls(hashed.sparkSession.sparkContext.broadcast(build_filter(hashed, bits)), bits)
+        shared = hashed.sparkSession.sparkContext.broadcast(build_filter(hashed, bits))
+        return cls(shared, bits, key_bits)
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
+        if self.key_bits < 64:
+            keys = mix(shortened(keys, self.key_bits))
         return in_filter(self.shared.value, keys, self.bits)
 
 
+def shortened(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The first bits of keys, the others 0."""
+    return keys >> np.uint64(64 - bits) << np.uint64(64 - bits)
+
+
 def names(texts: DataFrame, frequent: Sieve, buckets: int) -> DataFrame:
     """``lang, word, id, n``: the words that pass the sieve, and for each language a row without
     a word that has the number of all its words."""
     kind = pa.schema([
-        ("bucket", pa.int64()), ("ids", pa.binary()), ("langs", pa.list_(pa.string())),
-        ("words", pa.list_(pa.binary())),
+        ("bucket", pa.int64()), ("n", pa.int64()), ("packed", pa.binary()),
+        ("langs", pa.list_(pa.string())), ("size", pa.int64()), ("words", pa.binary()),
     ])
 
-    def packed(found: dict[int, tuple], totals: dict[str, int]) -> pa.RecordBatch:
-        """A row for each bucket with its words; a row without words for a language's number."""
+    def sent(found: dict[int, tuple], totals: dict[str, int]) -> pa.RecordBatch:
+        """A row for each bucket with its words and, once, their languages; a row without words
+        for a language's number."""
         ids = np.array(sorted(found), np.int64)
         order = np.argsort(ids.view(np.uint64))
         ids = ids[order].view(np.uint64)
         bucket = bucket_of(ids, buckets)
         edges = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(ids)]]).tolist()
-        entries = [found[x] for x in ids.view(np.int64).tolist()]
-        rows = [(int(bucket[a]), ids[a:b].tobytes(), [e[0] for e in entries[a:b]],
-                 [e[1] for e in entries[a:b]]) for a, b in zip(edges, edges[1:])]
-        rows += [(int(bucket_of(hash_words([lang.encode()]), buckets)[0]),
-                  np.array([n]).tobytes(), [lang], None) for lang, n in totals.items()]
+        rows = []
+        for a, b in zip(edges, edges[1:]):
+            entries = [found[x] for x in ids[a:b].view(np.int64).tolist()]
+            number = {lang: i for i, lang in enumerate(dict.fromkeys(e[0] for e in entries))}
+            langs = np.array([number[e[0]] for e in entries], np.uint64)
+            words = b" ".join(e[1] for e in entries)  # no word has a blank
+            rows.append((int(bucket[a]), b - a, packed(steps(ids[a:b]), langs), list(number), len(words),
+                         pa.compress(words, "zstd", asbytes=True)))
+        rows += [(int(bucket_of(hash_words([lang.encode()]), buckets)[0]), 1, packed(np.array([n])),
+                  [lang], 0, None) for lang, n in totals.items()]
         return pa.RecordBatch.from_arrays(
             [pa.array(x, f.type) for x, f in zip(zip(*rows), kind)] if rows
             else [pa.array([], f.type) for f in kind], schema=kind,
@@ -276,21 +327,24 @@ def names(texts: DataFrame, frequent: Sieve, buckets: int) -> DataFrame:
                 if key not in found:
                     found[key] = (lot.langs[row], lot.words[place])
             if len(found) > HELD_WORDS:
-                yield packed(found, totals)
+                yield sent(found, totals)
                 found, totals = {}, {}
                 give_back()
-        yield packed(found, totals)
+        yield sent(found, totals)
 
     def unite(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, tuple] = {}
         totals: dict[str, int] = {}
         for batch in batches:
-            for raw, langs, words in zip(*(batch.column(x) for x in ("ids", "langs", "words"))):
-                ids = np.frombuffer(raw.as_buffer(), np.int64).tolist()
-                if words.is_valid:
-                    found.update(zip(ids, zip(langs.as_py(), words.as_py())))
-                else:
-                    totals[langs[0].as_py()] = totals.get(langs[0].as_py(), 0) + ids[0]
+            for n, raw, langs, size, words in zip(*(batch.column(x) for x in kind.names[1:])):
+                langs = langs.as_py()
+                if not words.is_valid:
+                    totals[langs[0]] = totals.get(langs[0], 0) + int(unpacked(raw, 1)[0][0])
+                    continue
+                step, lang = unpacked(raw, n.as_py(), n.as_py())
+                listed = pa.decompress(words.as_buffer(), size.as_py(), "zstd", asbytes=True).split(b" ")
+                ids = np.cumsum(step).view(np.int64).tolist()
+                found.update(zip(ids, zip((langs[i] for i in lang.tolist()), listed)))
         langs, words = zip(*found.values()) if found else ((), ())
         none = [None] * len(totals)
         yield pa.RecordBatch.from_arrays(
@@ -300,8 +354,10 @@ def names(texts: DataFrame, frequent: Sieve, buckets: int) -> DataFrame:
             names=["lang", "word", "id", "n"],
         )
 
-    listed = texts.mapInArrow(scan, "bucket long, ids binary, langs array<string>, words array<binary>")
-    one = dealt(listed, buckets).groupBy("bucket").applyInArrow(
+    packs = texts.mapInArrow(
+        scan, "bucket long, n long, packed binary, langs array<string>, size long, words binary"
+    )
+    one = dealt(packs, buckets).groupBy("bucket").applyInArrow(
         unite, "lang string, word binary, id long, n long"
     )
     return one.withColumn("word", F.col("word").cast("string"))
@@ -326,10 +382,10 @@ def possible(lot: Lot, size: int, below: Sieve) -> np.ndarray:
 
 
 def locally_frequent(
-    texts: DataFrame, size: int, below: Sieve, needed: list[int], buckets: int, bits: int
+    texts: DataFrame, size: int, below: Sieve, needed: list[int], buckets: int, m: Mining
 ) -> Sieve:
     """Filter of the phrases of ``size`` words that some shard holds as often as it must, among
-    those whose parts pass the filter ``below``."""
+    those whose parts pass the filter ``below``. Phrases with the same short key are one here."""
 
     def sent(tallies: list[Tally]) -> Iterator[pa.RecordBatch]:
         for shard, tally in enumerate(tallies):
@@ -339,7 +395,7 @@ def locally_frequent(
         tallies = [Tally() for _ in needed]
         for lot in lots(batches):
             at = possible(lot, size, below)
-            keys, shard = lot.keys(size)[at], lot.shards[lot.rows[at]]
+            keys, shard = shortened(lot.keys(size)[at], m.key_bits), lot.shards[lot.rows[at]]
             for i in np.unique(shard).tolist():
                 tallies[i].add(keys[shard == i])
             if sum(t.new for t in tallies) > SENT:
@@ -348,15 +404,16 @@ def locally_frequent(
         yield from sent(tallies)
 
     def mine(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = gathered(batches, 0)
+        keys, counts = gathered(batches)
         frequent = keys[counts >= needed[key[0].as_py() // buckets]]
-        yield pa.RecordBatch.from_arrays([pa.array([frequent.tobytes()], pa.binary())], ["hashes"])
+        hashes = (mix(frequent) if m.key_bits < 64 else frequent).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([hashes], pa.binary())], ["hashes"])
 
-    sums = texts.mapInArrow(scan, "bucket long, c0 binary, c1 binary")
+    sums = texts.mapInArrow(scan, SUMS)
     united = dealt(sums, buckets * len(needed)).groupBy("bucket").applyInArrow(mine, "hashes binary")
     united = keep(united, "united")
     held = united.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
-    return Sieve.over(united, held // 8, bits)
+    return Sieve.over(united, held // 8, m.bits, m.key_bits)
 
 
 def dealt(sums: DataFrame, buckets: int) -> DataFrame:
@@ -383,18 +440,18 @@ def count_candidates(
                 last = lot.ids[at + 2] if size == 3 else np.zeros(len(at), np.uint64)
                 tally.add(keys, None, (lot.ids[at], lot.ids[at + 1], last))
             if tally.new > SENT // 2:
-                yield by_bucket(tally.merge(), buckets, 0)
+                yield by_head(tally.merge(), buckets)
                 tally = Tally(3)
-        yield by_bucket(tally.merge(), buckets, 0)
+        yield by_head(tally.merge(), buckets)
 
     names = ["key", "a", "w1", "w2", "w3", "head", "tail"]
 
     def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, w1, w2, w3 = gathered(batches, 3)
+        keys, counts, w1, w2, w3 = phrases(batches)
         chosen = counts >= m.support
         columns = [x[chosen] for x in (keys, counts, w1, w2, w3)]
-        head = window_hashes_of(columns[2], columns[3])
-        tail = window_hashes_of(columns[3], columns[4])
+        head = keys_of(columns[2], columns[3])
+        tail = keys_of(columns[3], columns[4])
         single = columns[4] == 0
         yield pa.RecordBatch.from_arrays(
             [*(pa.array(x.view(np.int64)) for x in columns[:4]),
@@ -402,17 +459,63 @@ def count_candidates(
             names=names,
         )
 
-    sums = texts.mapInArrow(scan, "bucket long, " + ", ".join(f"c{i} binary" for i in range(5)))
+    sums = texts.mapInArrow(scan, "bucket long, n long, longer long, packed binary")
     return dealt(sums, buckets).groupBy("bucket").applyInArrow(
         add_up, ", ".join(f"{x} long" for x in names)
     )
 
 
-def window_hashes_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Key of each pair of two words, as :meth:`Lot.keys` gives it."""
-    both = np.empty(2 * len(first), np.uint64)
-    both[0::2], both[1::2] = first, second
-    return window_hashes(both, 2, 2)[0::2] if len(first) else both
+def by_head(merged: tuple[np.ndarray, ...], buckets: int) -> pa.RecordBatch:
+    """A row for each bucket with the ``n`` pairs that begin its phrases: both words, how often
+    the pair was found alone and how many triples it begins; and of those ``longer`` triples
+    the last word and the count."""
+    keys, counts, w1, w2, w3 = merged
+    single = w3 == 0
+    head = np.where(single, keys, keys_of(w1, w2))
+    order = np.argsort(head, kind="stable")
+    head, counts, w3, single = head[order], counts[order], w3[order], single[order]
+    runs = edges_of(head)
+    first = runs[:-1]
+    alone, triples = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+    if len(first):
+        alone = np.add.reduceat(np.where(single, counts, 0), first)
+        triples = np.add.reduceat((~single).astype(np.int64), first)
+    w1, w2 = w1[order[first]], w2[order[first]]
+    last, found = w3[~single], counts[~single]
+    bucket = bucket_of(head[first], buckets)
+    edges = edges_of(bucket)
+    ends = np.concatenate([[0], np.cumsum(triples)])[edges]
+    spans = list(zip(*(x.tolist() for x in (edges, edges[1:], ends, ends[1:]))))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[edges[:-1]], pa.int64()), pa.array(np.diff(edges), pa.int64()),
+         pa.array(np.diff(ends), pa.int64()),
+         pa.array([packed(*(x[a:b] for x in (w1, w2, alone, triples)), last[c:d], found[c:d])
+                   for a, b, c, d in spans], pa.binary())],
+        names=["bucket", "n", "longer", "packed"],
+    )
+
+
+def phrases(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    """What :func:`by_head` sent, added up: keys, counts and the three words."""
+    tally = Tally(3)
+    for batch in batches:
+        sizes = zip(batch.column("n").to_pylist(), batch.column("longer").to_pylist())
+        for (n, longer), raw in zip(sizes, batch.column("packed")):
+            w1, w2, alone, triples, w3, counts = unpacked(raw, n, n, n, n, longer, longer)
+            own = np.flatnonzero(alone)
+            pair = w1[own], w2[own]
+            tally.add(keys_of(*pair), alone[own].view(np.int64), (*pair, np.zeros_like(pair[0])))
+            three = *(np.repeat(x, triples.view(np.int64)) for x in (w1, w2)), w3
+            tally.add(keys_of(*three), counts.view(np.int64), three)
+    return tally.merge()
+
+
+def keys_of(*words: np.ndarray) -> np.ndarray:
+    """Keys of the phrases of these first, second and so on words, as :meth:`Lot.keys` gives them."""
+    total = np.full(len(words[0]), len(words), np.uint64)
+    for x in words:
+        total = total * ODD_1 + x
+    return mix(total)
 
 
 def cut_score(a: Column, left: Column, right: Column) -> Column:
@@ -480,9 +583,9 @@ def collocations(docs: DataFrame, m: Mining = Mining()) -> DataFrame:
     frequent = Sieve.over(hashed, counts.count(), m.bits)
     listed = keep(names(texts, frequent, buckets), "names")
     words = listed.filter("word IS NOT NULL").drop("n").join(counts, "id")
-    pairs = locally_frequent(texts, 2, frequent, needed, buckets, m.bits)
+    pairs = locally_frequent(texts, 2, frequent, needed, buckets, m)
     frequent.shared.destroy()
-    triples = locally_frequent(texts, 3, pairs, needed, buckets, m.bits)
+    triples = locally_frequent(texts, 3, pairs, needed, buckets, m)
     found = keep(count_candidates(texts, pairs, triples, buckets, m), "phrases")
     for sieve in (pairs, triples):
         sieve.shared.destroy()

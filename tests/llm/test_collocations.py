@@ -128,3 +128,55 @@ def test_products_beyond_64_bits(spark):
         collocations.cut_score(F.lit(big), F.lit(big + 1), F.lit(big + 2)).alias("s")
     )
     assert row.first()["s"] == 1000000 * big * big // ((big + 1) * (big + 2))
+
+
+def merged_keys(n, seed=4):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    tally = collocations.Tally()
+    tally.add(rng.integers(0, 1 << 64, n, np.uint64))
+    return tally
+
+
+def test_what_a_level_sends_is_packed():
+    import numpy as np
+
+    tally = merged_keys(200_000)
+    keys, counts = tally.merge()
+    short = collocations.shortened(keys, 40)
+    sent = collocations.by_bucket((short, counts), 100, 0)
+    assert sent.nbytes < 4 * len(keys)
+    back = collocations.gathered([sent])
+    assert (back[0] == np.unique(short)).all() and back[1].sum() == counts.sum()
+    whole = collocations.by_bucket((keys, counts), 100, 0)
+    assert whole.nbytes < 7 * len(keys)
+    back = collocations.gathered([whole])
+    assert (back[0] == keys).all() and (back[1] == counts).all()
+
+
+def test_what_is_sent_of_candidates():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    pairs = rng.integers(1, 1 << 64, (2, 30_000), np.uint64)
+    some = rng.integers(0, 30_000, 30_000)  # triples of no pair, of one and of several
+    last = rng.integers(1, 1 << 64, 30_000, np.uint64)
+    tally, none = collocations.Tally(3), np.zeros(20_000, np.uint64)
+    for w in ((*pairs[:, :20_000], none), (*pairs[:, some], last)):
+        keys = collocations.keys_of(*(x for x in w if x.any()))
+        for _ in range(2):
+            tally.add(keys, None, w)
+    merged = tally.merge()
+    sent = collocations.by_head(merged, 100)
+    assert sent.nbytes < 18 * len(merged[0])
+    back = collocations.phrases([sent])
+    assert all((a == b).all() for a, b in zip(back, merged)) and (back[1] == 2).all()
+    empty = collocations.by_head(collocations.Tally(3).merge(), 100)
+    assert empty.num_rows == 0 and not len(collocations.phrases([empty])[0])
+
+
+def test_phrases_whose_short_keys_are_the_same(spark):
+    # With 6 bits nearly every phrase shares its short key with others.
+    rows = sample(11, 60)
+    assert mined(texts(spark, rows), Mining(support=4, key_bits=6)) == plain(rows, support=4)
