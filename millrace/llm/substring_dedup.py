@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import (
-    EMPTY, FILTER_BITS, ODD_1, PART_BITS, U, binary_list, bucket_count, build_filter,
+    EMPTY, FILTER_BITS, ODD_1, PART_BITS, U, binary_list, bucket_count, filter_bytes,
     filter_parts, hash_chunks, in_filter, join_filter, keep, mix, row_key, session, set_bits, slices, table, white_words,
     window_hashes, with_key,
 )
@@ -54,10 +55,9 @@ def block_hashes(docs: DataFrame, block: int) -> DataFrame:
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "hashes binary")
 
 
-def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
+def hit_hashes(docs: DataFrame, block: int, index: Broadcast) -> DataFrame:
     """``hashes``: indexed blocks that a rolling window hit outside of the block grid, or that
     the grid of some document has again within a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(index.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, white_words, most=SLICE):
@@ -65,7 +65,7 @@ def hit_hashes(docs: DataFrame, block: int, index: np.ndarray) -> DataFrame:
             at = part.starts(block)
             off = at[(at - part.bounds[part.rows()[at]]) % block != 0]
             values = rolled[off]
-            yield _one(values[in_filter(np.frombuffer(shared.value, np.uint8), values)])
+            yield _one(values[in_filter(np.frombuffer(index.value, np.uint8), values)])
 
     return docs.select(F.col("text").cast("binary")).mapInArrow(run, "hashes binary")
 
@@ -187,13 +187,11 @@ def removals(docs: DataFrame, width: int = 13) -> DataFrame:
     buckets = bucket_count(docs, BUCKET_BYTES)
     known = docs.filter(F.col("doc_id").isNotNull())
     indexed = keep(index_blocks(block_hashes(known, block)), "index")
-    index = join_filter(indexed.filter("bits is not null"), FILTER_BITS)
-    found = hit_hashes(known, block, index).union(indexed.select("hashes"))
-    hit = build_filter(found, HIT_BITS)
     context = spark.sparkContext
     # As bytes: an array would be held twice while a worker unpacks it.
-    index_, hit_ = context.broadcast(index.tobytes()), context.broadcast(hit.tobytes())
-    del index, hit
+    index_ = context.broadcast(join_filter(indexed.filter("bits is not null"), FILTER_BITS))
+    found = hit_hashes(known, block, index_).union(indexed.select("hashes"))
+    hit_ = context.broadcast(filter_bytes(found, HIT_BITS))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0

@@ -37,8 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import (
-    ODD_1, ODD_2, U, binary_list, bucket_count, build_filter, give_back, in_filter, keep, mix,
-    row_key, session, slices, table, with_key,
+    ODD_1, ODD_2, U, binary_list, bucket_count, build_filter, filter_bytes, give_back, in_filter, keep,
+    mix, row_key, session, slices, table, with_key,
 )
 from millrace.llm.cutting import cut
 
@@ -449,7 +449,7 @@ def removals(docs: DataFrame, width: int = 200) -> DataFrame:
     counts = keep(anchor_counts(docs, width, buckets), "anchors")
     context = spark.sparkContext
     # As bytes: an array would be held twice while a worker unpacks it.
-    again = context.broadcast(build_filter(counts.select("hashes")).tobytes())
+    again = context.broadcast(filter_bytes(counts.select("hashes")))
     hot = context.broadcast(build_filter(counts.select(F.col("hot").alias("hashes")), HOT_BITS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
